@@ -1,0 +1,4 @@
+"""Empty on purpose: the work is a daily full refresh and has no stream operators.
+
+The 15 minutes of the attribution rule bound a batch join, not an event-time window.
+"""
