@@ -1,9 +1,9 @@
 """Time arithmetic on zone-less timestamps.
 
 ``unix_micros``, ``timestampdiff`` and ``date_trunc`` go through the session zone, which
-bends wall-clock times around daylight-saving changes. The expressions below read calendar
-fields only, so they give the same answer under every session zone, and they floor before
-1970 too.
+bends wall-clock times around daylight-saving changes. Subtracting a zone-less origin does
+not, so the numbers below are the same under every session zone. The origin lies before any
+timestamp in use: the interval is never negative and the cast to whole units rounds down.
 """
 
 from __future__ import annotations
@@ -16,25 +16,24 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _epoch_day(ts: Column) -> Column:
-    return F.date_diff(ts.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+def _since_origin(ts: Column | str, unit: str) -> Column:
+    origin = F.expr("TIMESTAMP_NTZ'0001-01-01 00:00:00'")
+    return (_col(ts) - origin).cast(f"interval {unit}").cast("long")
 
 
-def epoch_second(ts: Column | str) -> Column:
-    """Whole seconds since 1970-01-01, rounded down."""
-    ts = _col(ts)
-    return _epoch_day(ts) * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+def second_no(ts: Column | str) -> Column:
+    """Number of the second ``ts`` falls in."""
+    return _since_origin(ts, "second")
 
 
-def epoch_minute(ts: Column | str) -> Column:
-    """Whole minutes since 1970-01-01, rounded down."""
-    ts = _col(ts)
-    return _epoch_day(ts) * 1440 + F.hour(ts) * 60 + F.minute(ts)
+def minute_no(ts: Column | str) -> Column:
+    """Number of the minute ``ts`` falls in."""
+    return _since_origin(ts, "minute")
 
 
 def minutes_between(start: Column | str, end: Column | str) -> Column:
     """Minute boundaries crossed from ``start`` to ``end`` (20:30:50 to 20:31:10 is 1)."""
-    return epoch_minute(end) - epoch_minute(start)
+    return minute_no(end) - minute_no(start)
 
 
 def days_between(start: Column | str, end: Column | str) -> Column:
@@ -46,7 +45,6 @@ def shift_seconds(ts: Column | str, seconds: int) -> Column:
     return _col(ts) + F.expr(f"INTERVAL '{int(seconds)}' SECOND")
 
 
-def floor_div(value: Column | str, width: int) -> Column:
-    """Integer division that rounds towards minus infinity."""
-    value = _col(value)
-    return ((value - F.pmod(value, F.lit(width))) / F.lit(width)).cast("long")
+def bucket_no(second: Column | str, width_s: int) -> Column:
+    """Number of the ``width_s`` long bucket a second belongs to."""
+    return F.floor(_col(second) / F.lit(width_s))

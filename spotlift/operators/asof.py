@@ -20,8 +20,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spotlift.functions.timing import epoch_second, floor_div, shift_seconds
-from spotlift.operators.salting import ROWS_PER_TASK, SALT, hot_keys, key_counts, replicate, spread
+from spotlift.functions.timing import second_no, bucket_no, shift_seconds
+from spotlift.operators.salting import ROWS_PER_TASK, SALT, hot_keys, key_counts, replicate, salt_count, spread
 
 
 def one_per_instant(anchors: DataFrame, anchor_ts: str, tie_break: Sequence[str]) -> DataFrame:
@@ -38,26 +38,30 @@ def one_per_instant(anchors: DataFrame, anchor_ts: str, tie_break: Sequence[str]
     fields |= {c: F.col("best")[c] for c in rest} | {anchor_ts: F.col(anchor_ts)}
     return best.select(
         F.col(anchor_ts).alias("at"),
-        epoch_second(anchor_ts).alias("sec"),
+        second_no(anchor_ts).alias("sec"),
         F.struct(*[fields[c].alias(c) for c in anchors.columns]).alias("anchor"),
     )
 
 
-def _carried_in(instants: DataFrame, point_counts: DataFrame, tolerance_s: int) -> DataFrame:
-    """For every slice with points, the last anchor before the slice, if near enough."""
-    bucket = floor_div("sec", tolerance_s)
+def _carried_in(instants: DataFrame, point_counts: DataFrame, tolerance_s: int, rows_per_task: int) -> DataFrame:
+    """For every slice with points, and each of its salts, the last anchor before the slice.
+
+    An anchor too old by now may come along; the tolerance is checked per point later.
+    """
+    bucket = bucket_no("sec", tolerance_s)
     last_of_slice = (
         instants.groupBy("sec")
         .agg(F.max_by("anchor", "at").alias("anchor"))
-        .select("sec", F.explode(F.array(bucket, bucket + 1)).alias("bucket"), "anchor", F.lit(False).alias("wanted"))
+        .select("sec", F.explode(F.array(bucket, bucket + 1)).alias("bucket"), "anchor")
     )
-    wanted = point_counts.select("sec", bucket.alias("bucket"), F.lit(True).alias("wanted"))
+    asked = point_counts.select("sec", bucket.alias("bucket"), "rows")
     earlier = Window.partitionBy("bucket").orderBy("sec").rangeBetween(Window.unboundedPreceding, -1)
+    salts = F.sequence(F.lit(0), salt_count(F.col("rows"), rows_per_task) - 1)
     return (
-        last_of_slice.unionByName(wanted, allowMissingColumns=True)
-        .withColumn("anchor", F.last("anchor", ignorenulls=True).over(earlier))
-        .where("wanted AND anchor IS NOT NULL")
-        .select("sec", "anchor")
+        asked.unionByName(last_of_slice, allowMissingColumns=True)
+        .select("sec", "rows", F.last("anchor", ignorenulls=True).over(earlier).alias("anchor"))
+        .where("rows IS NOT NULL AND anchor IS NOT NULL")
+        .select("sec", "anchor", F.explode(salts).alias(SALT))
     )
 
 
@@ -71,13 +75,15 @@ def asof_join(
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Columns of ``points`` and of the matched anchor; points without one are left out."""
-    timed = points.where(F.col(point_ts).isNotNull()).withColumn("sec", epoch_second(point_ts))
+    timed = points.where(F.col(point_ts).isNotNull()).withColumn("sec", second_no(point_ts))
     counts = key_counts(timed.select("sec"), "sec")
     hot = hot_keys(counts, "sec", rows_per_task)
     instants = one_per_instant(anchors, anchor_ts, tie_break)
 
-    carried = _carried_in(instants, counts, tolerance_s).withColumn("at", F.col(f"anchor.{anchor_ts}"))
-    known = replicate(instants.unionByName(carried), "sec", hot).withColumn("is_point", F.lit(False))
+    carried = _carried_in(instants, counts, tolerance_s, rows_per_task).select(
+        "sec", F.col(f"anchor.{anchor_ts}").alias("at"), "anchor", SALT
+    )
+    known = replicate(instants, "sec", hot).unionByName(carried).withColumn("is_point", F.lit(False))
     asked = spread(timed, "sec", hot).select(
         "sec",
         SALT,

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spotlift.functions.timing import epoch_minute, shift_seconds
+from spotlift.functions.timing import minute_no, shift_seconds
 from spotlift.operators.salting import ROWS_PER_TASK, SALT, hot_keys, key_counts, replicate, spread
 
 
@@ -31,11 +31,11 @@ def interval_join(
     slice; nothing downstream in this library is computed from it. Slices with many points
     are spread over several tasks.
     """
-    left = points.where(F.col(point_ts).isNotNull()).withColumn("slice", epoch_minute(point_ts))
+    left = points.where(F.col(point_ts).isNotNull()).withColumn("slice", minute_no(point_ts))
     first = shift_seconds(anchor_ts, -before_s)
     last = shift_seconds(anchor_ts, after_s)
     right = anchors.where(F.col(anchor_ts).isNotNull()).withColumn(
-        "slice", F.explode(F.sequence(epoch_minute(first), epoch_minute(last)))
+        "slice", F.explode(F.sequence(minute_no(first), minute_no(last)))
     )
     hot = hot_keys(key_counts(left.select("slice"), "slice"), "slice", rows_per_task)
     in_reach = F.col(point_ts).between(first, last)

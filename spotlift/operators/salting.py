@@ -7,7 +7,7 @@ and a task that is run again gives every row the same salt.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SALT = "salt"
@@ -27,25 +27,23 @@ def hot_keys(counts: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) ->
     entries of 16 bytes. That bound is what allows the broadcasts below.
     """
     return counts.where(F.col("rows") > rows_per_task).select(
-        key, F.ceil(F.col("rows") / F.lit(rows_per_task)).cast("int").alias("salts")
+        key, salt_count(F.col("rows"), rows_per_task).alias("salts")
     )
 
 
+def salt_count(rows: Column, rows_per_task: int = ROWS_PER_TASK) -> Column:
+    return F.ceil(rows / F.lit(rows_per_task)).cast("int")
+
+
 def spread(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     """Give each row one of its key's salts."""
     salts = F.coalesce(F.col("salts"), F.lit(1))
-    return (
-        df.join(F.broadcast(hot), key, "left")
-        .withColumn(SALT, F.pmod(F.spark_partition_id(), salts))
-        .drop("salts")
-    )
+    salted = df.join(F.broadcast(hot), key, "left")
+    return salted.select(*df.columns, F.pmod(F.spark_partition_id(), salts).alias(SALT))
 
 
 def replicate(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     """Copy each row to all salts of its key."""
     salts = F.coalesce(F.col("salts"), F.lit(1))
-    return (
-        df.join(F.broadcast(hot), key, "left")
-        .withColumn(SALT, F.explode(F.sequence(F.lit(0), salts - 1)))
-        .drop("salts")
-    )
+    copied = df.join(F.broadcast(hot), key, "left")
+    return copied.select(*df.columns, F.explode(F.sequence(F.lit(0), salts - 1)).alias(SALT))

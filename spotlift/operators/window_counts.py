@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spotlift.functions.timing import epoch_second, floor_div, shift_seconds
+from spotlift.functions.timing import second_no, bucket_no, shift_seconds
 
 
 def _probe(kind: int, at, sec, before_sign: int, after_sign: int, before_total: int, after_total: int):
@@ -49,7 +49,7 @@ def _probes(anchors: DataFrame, anchor_ts: str, window_s: int) -> DataFrame:
         anchors.where(t.isNotNull())
         .select(anchor_ts)
         .distinct()
-        .withColumn("sec", epoch_second(anchor_ts))
+        .withColumn("sec", second_no(anchor_ts))
         .select(anchor_ts, F.inline(readings))
     )
 
@@ -63,7 +63,7 @@ def counts_around(
         points.where(F.col(point_ts).isNotNull())
         .groupBy(point_ts)
         .agg(F.count("*").alias("n"))
-        .select(F.col(point_ts).alias("at"), epoch_second(point_ts).alias("sec"), "n", F.lit(1).alias("kind"))
+        .select(F.col(point_ts).alias("at"), second_no(point_ts).alias("sec"), "n", F.lit(1).alias("kind"))
     )
     probes = _probes(anchors, anchor_ts, window_s)
 
@@ -81,7 +81,7 @@ def counts_around(
         .unionByName(probes.select("sec", F.lit(0).cast("long").alias("n")))
         .groupBy("sec")
         .agg(F.sum("n").alias("n"))
-        .withColumn("bucket", floor_div("sec", window_s))
+        .withColumn("bucket", bucket_no("sec", window_s))
         .withColumn("earlier", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
         .withColumn("total", F.sum("n").over(in_bucket))
         .select("sec", "earlier", "total")
