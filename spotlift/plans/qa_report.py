@@ -16,7 +16,7 @@ from pyspark.sql.types import NumericType
 
 from spotlift.functions.numeric import invalid_number
 from spotlift.functions.timing import days_between
-from spotlift.operators.checks import duplicate_groups, failing_rows, outside, union_all
+from spotlift.operators.checks import failing_rows, outside, union_all
 from spotlift.schemas import RAW_SOURCES
 from spotlift.sources import catalog
 from spotlift.sources.csv_files import discover, path_exists, read_text_columns, write_csv
@@ -82,13 +82,13 @@ def fixed(spark: SparkSession, rows: Sequence[tuple[str, str, str]]) -> DataFram
     return spark.createDataFrame(list(rows), _ROW)
 
 
-def _verdict(counts: DataFrame, name: str, count: str, failed: str, passed: str | Column) -> DataFrame:
+def _verdict(counts: DataFrame, name: str, count: str, failed: str, passed: str) -> DataFrame:
     bad = F.col(count)
     return counts.select(
         F.lit(name).alias("check_name"),
         F.when(bad > 0, FAILED).otherwise(PASSED).alias("status"),
         F.when(bad > 0, F.concat(F.lit(failed), bad.cast("string")))
-        .otherwise(F.lit(passed) if isinstance(passed, str) else passed)
+        .otherwise(passed)
         .alias("details"),
     )
 
@@ -98,11 +98,12 @@ def _verdict(counts: DataFrame, name: str, count: str, failed: str, passed: str
 
 def file_checks(spark: SparkSession, root: str, required: Sequence[str]) -> DataFrame:
     """A required source is a file, or a folder of part files, with at least one byte."""
-    found = discover(spark, root)
+    owner = F.coalesce(
+        *[F.when((F.col("path") == r) | F.startswith("path", F.lit(f"{r}/")), F.lit(r)) for r in required]
+    )
+    found = discover(spark, root).groupBy(owner.alias("required")).agg(F.sum("length").alias("size"))
     wanted = spark.createDataFrame([(r,) for r in required], "required string")
-    owns = (F.col("path") == F.col("required")) | F.startswith("path", F.concat("required", F.lit("/")))
-    sizes = wanted.join(F.broadcast(wanted).join(found, owns).groupBy("required").agg(F.sum("length").alias("size")),
-                        "required", "left")
+    sizes = wanted.join(found, "required", "left")
     missing, empty = F.col("size").isNull(), F.col("size") == 0
     full = F.concat(F.lit(f"{root.rstrip('/')}/"), "required")
     kind = F.when(missing, "File exists: ").otherwise("File not empty: ")
@@ -224,23 +225,34 @@ def table_checks(spark: SparkSession, expected: Sequence[str]) -> list[DataFrame
     return parts
 
 
-def key_counts(df: DataFrame, key: str) -> DataFrame:
-    """``(null_keys, duplicate_groups)`` of a primary key."""
-    return failing_rows(df, {"null_keys": F.col(key).isNull()}).join(F.broadcast(duplicate_groups(df, key)))
+def key_profile(df: DataFrame, key: str) -> DataFrame:
+    """``(null_keys, duplicate_groups)`` of a primary key from one grouping; nulls are one group."""
+    rows = F.col("rows")
+    return (
+        df.groupBy(F.col(key).alias("key"))
+        .agg(F.count("*").alias("rows"))
+        .agg(
+            F.coalesce(F.sum(F.when(F.col("key").isNull(), rows)), F.lit(0)).alias("null_keys"),
+            F.count_if(rows > 1).alias("duplicate_groups"),
+        )
+    )
 
 
-def key_checks(df: DataFrame, table: str, key: str) -> list[DataFrame]:
-    nulls = failing_rows(df, {"nulls": F.col(key).isNull()})
-    return [
-        _verdict(nulls, f"Null check: {table}.{key}", "nulls", "Null count=", "No null primary keys"),
-        _verdict(
-            duplicate_groups(df, key),
-            f"Duplicate check: {table}.{key}",
-            "duplicate_groups",
-            "Duplicate key groups=",
-            "No duplicate primary keys",
-        ),
-    ]
+def key_checks(df: DataFrame, table: str, key: str) -> DataFrame:
+    nulls, groups = F.col("null_keys"), F.col("duplicate_groups")
+
+    def verdict(name: str, bad: Column, failed: str, passed: str) -> Column:
+        return F.struct(
+            F.lit(f"{name}: {table}.{key}").alias("check_name"),
+            F.when(bad > 0, FAILED).otherwise(PASSED).alias("status"),
+            F.when(bad > 0, F.concat(F.lit(failed), bad.cast("string"))).otherwise(passed).alias("details"),
+        )
+
+    verdicts = F.array(
+        verdict("Null check", nulls, "Null count=", "No null primary keys"),
+        verdict("Duplicate check", groups, "Duplicate key groups=", "No duplicate primary keys"),
+    )
+    return key_profile(df, key).select(F.inline(verdicts))
 
 
 def attribution_failures(df: DataFrame, impression: str, conversion: str, max_days: int = 7) -> DataFrame:
@@ -398,7 +410,7 @@ def _all_key_checks(spark: SparkSession, keys: Mapping[str, str]) -> list[DataFr
     parts = []
     for table, key in keys.items():
         if catalog.table_exists(spark, table):
-            parts += key_checks(spark.table(table), table, key)
+            parts.append(key_checks(spark.table(table), table, key))
         else:
             parts.append(fixed(spark, [(f"Null check: {table}.{key}", FAILED, "Table missing")]))
     return parts
