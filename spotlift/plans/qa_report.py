@@ -102,9 +102,10 @@ def file_checks(spark: SparkSession, root: str, required: Sequence[str]) -> Data
         *[F.when((F.col("path") == r) | F.startswith("path", F.lit(f"{r}/")), F.lit(r)) for r in required]
     )
     found = discover(spark, root).groupBy(owner.alias("required")).agg(F.sum("length").alias("size"))
-    wanted = spark.createDataFrame([(r,) for r in required], "required string")
-    sizes = wanted.join(found, "required", "left")
-    missing, empty = F.col("size").isNull(), F.col("size") == 0
+    # A scan leaves files without content out, so whether the path is there is asked apart.
+    there = [(r, path_exists(spark, f"{root.rstrip('/')}/{r}")) for r in required]
+    sizes = spark.createDataFrame(there, "required string, there boolean").join(found, "required", "left")
+    missing, empty = ~F.col("there"), F.coalesce("size", F.lit(0)) == 0
     full = F.concat(F.lit(f"{root.rstrip('/')}/"), "required")
     kind = F.when(missing, "File exists: ").otherwise("File not empty: ")
     return sizes.select(
