@@ -22,6 +22,14 @@ BOUND_FILES = {
     "raw.odec_mapping": "nation.parquet",
 }
 
+#: Declared layouts of the test tables in use; reading them starts no schema job.
+TABLE_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
 
 def _device_label(event_id: Column) -> Column:
     kind = event_id % 3
@@ -36,7 +44,7 @@ class RetailTables:
         self.folder = folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     @cached_property
     def raw_spots(self) -> DataFrame:
