@@ -9,15 +9,21 @@ relative position of values only, so scaling the features first would not change
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+# The two Python functions below travel to the executors by value: the package itself need
+# not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 NODE_SCHEMA = (
     "tree_id int, node_id int, feature int, threshold double, left_id int, right_id int, size int, path double"
 )

@@ -129,3 +129,19 @@ def test_empty_table_is_refused(effectiveness):
 def test_segments_run_without_python(effectiveness):
     df = scoring.with_segment(scoring.ml_features(effectiveness).selectExpr("*", "1 AS is_abnormal_response"))
     assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_python_functions_need_no_installed_package(tmp_path):
+    """Executors do not have this package on their path."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from spotlift.operators import isolation_forest
+
+    code = "import pickle, sys, numpy as np; f = pickle.load(sys.stdin.buffer); print(len(f(np.eye(2), np.random.default_rng(1))))"
+    result = subprocess.run(
+        [sys.executable, "-I", "-c", code], input=cloudpickle.dumps(isolation_forest._grow), capture_output=True, cwd=tmp_path
+    )
+    assert result.stdout.strip() == b"3", result.stderr
