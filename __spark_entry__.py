@@ -111,8 +111,8 @@ def _feature_scaling(t: RetailTables) -> DataFrame:
 
 
 def _incremental_lift(t: RetailTables) -> DataFrame:
-    lift = lift_pct("pre_spot_sessions", "post_spot_sessions").alias("incremental_lift_pct")
-    return t.pre_post.select("spot_id", "pre_spot_sessions", "post_spot_sessions", lift)
+    lift = f"{lift_pct('pre_spot_sessions', 'post_spot_sessions')} AS incremental_lift_pct"
+    return t.pre_post.selectExpr("spot_id", "pre_spot_sessions", "post_spot_sessions", lift)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -1,4 +1,4 @@
-"""Lift, response segments and text clean-up."""
+"""Lift, response segments and text clean-up; SQL expressions where staging views need them."""
 
 from __future__ import annotations
 
@@ -6,23 +6,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def clean_label(c: Column | str) -> Column:
-    return F.lower(F.trim(c))
+def clean_label(text: str) -> str:
+    return f"lower(trim({text}))"
 
 
-def lift_pct(pre: Column | str, post: Column | str) -> Column:
+def lift_pct(pre: str, post: str) -> str:
     """Percent change of sessions from before to after a spot.
 
     A spot without sessions before it scores 100 if any followed and 0 if none did; both
     guards stay ahead of the division, which raises on zero under ANSI rules.
     """
-    pre = F.col(pre) if isinstance(pre, str) else pre
-    post = F.col(post) if isinstance(post, str) else post
-    return (
-        F.when((pre == 0) & (post > 0), F.lit(100.0))
-        .when((pre == 0) & (post == 0), F.lit(0.0))
-        .otherwise(F.round((post - pre) * F.lit(100.0) / pre, 2))
-    )
+    return f"""CASE WHEN {pre} = 0 AND {post} > 0 THEN 100.0D
+                    WHEN {pre} = 0 AND {post} = 0 THEN 0.0D
+                    ELSE round(({post} - {pre}) * 100.0D / {pre}, 2) END"""
 
 
 def response_segment(lift: Column | str, abnormal: Column | str) -> Column:

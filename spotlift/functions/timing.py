@@ -1,4 +1,4 @@
-"""Time arithmetic on zone-less timestamps.
+"""Time arithmetic on zone-less timestamps, as SQL expressions.
 
 ``unix_micros``, ``timestampdiff`` and ``date_trunc`` go through the session zone, which
 bends wall-clock times around daylight-saving changes. Subtracting a zone-less origin does
@@ -8,43 +8,35 @@ timestamp in use: the interval is never negative and the cast to whole units rou
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+def _since_origin(ts: str, unit: str) -> str:
+    return f"cast(cast({ts} - TIMESTAMP_NTZ'0001-01-01 00:00:00' AS INTERVAL {unit}) AS bigint)"
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
 
-
-def _since_origin(ts: Column | str, unit: str) -> Column:
-    origin = F.expr("TIMESTAMP_NTZ'0001-01-01 00:00:00'")
-    return (_col(ts) - origin).cast(f"interval {unit}").cast("long")
-
-
-def second_no(ts: Column | str) -> Column:
+def second_no(ts: str) -> str:
     """Number of the second ``ts`` falls in."""
-    return _since_origin(ts, "second")
+    return _since_origin(ts, "SECOND")
 
 
-def minute_no(ts: Column | str) -> Column:
+def minute_no(ts: str) -> str:
     """Number of the minute ``ts`` falls in."""
-    return _since_origin(ts, "minute")
+    return _since_origin(ts, "MINUTE")
 
 
-def minutes_between(start: Column | str, end: Column | str) -> Column:
+def minutes_between(start: str, end: str) -> str:
     """Minute boundaries crossed from ``start`` to ``end`` (20:30:50 to 20:31:10 is 1)."""
-    return minute_no(end) - minute_no(start)
+    return f"{minute_no(end)} - {minute_no(start)}"
 
 
-def days_between(start: Column | str, end: Column | str) -> Column:
+def days_between(start: str, end: str) -> str:
     """Midnights crossed from ``start`` to ``end``."""
-    return F.date_diff(_col(end), _col(start)).cast("long")
+    return f"cast(date_diff({end}, {start}) AS bigint)"
 
 
-def shift_seconds(ts: Column | str, seconds: int) -> Column:
-    return _col(ts) + F.expr(f"INTERVAL '{int(seconds)}' SECOND")
+def shifted(ts: str, seconds: int) -> str:
+    return f"({ts} + INTERVAL '{int(seconds)}' SECOND)"
 
 
-def bucket_no(second: Column | str, width_s: int) -> Column:
+def bucket_no(second: str, width_s: int) -> str:
     """Number of the ``width_s`` long bucket a second belongs to."""
-    return F.floor(_col(second) / F.lit(width_s))
+    return f"({second} div {int(width_s)})"

@@ -17,10 +17,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spotlift.functions.timing import second_no, bucket_no, shift_seconds
+from spotlift.functions.timing import bucket_no, second_no, shifted
 from spotlift.operators.salting import ROWS_PER_TASK, SALT, hot_keys, key_counts, replicate, salt_count, spread
 
 
@@ -29,17 +29,16 @@ def one_per_instant(anchors: DataFrame, anchor_ts: str, tie_break: Sequence[str]
 
     The lowest ``tie_break`` value wins, nulls last; the other columns settle what is left.
     """
-    rest = [c for c in anchors.columns if c != anchor_ts and c not in tie_break]
-    order = [f(c) for c in tie_break for f in (F.isnull, F.col)]
-    best = anchors.where(F.col(anchor_ts).isNotNull()).groupBy(anchor_ts).agg(
-        F.min(F.struct(*[o.alias(f"k{i}") for i, o in enumerate(order)], *rest)).alias("best")
-    )
-    fields = {c: F.col("best")[f"k{2 * i + 1}"] for i, c in enumerate(tie_break)}
-    fields |= {c: F.col("best")[c] for c in rest} | {anchor_ts: F.col(anchor_ts)}
-    return best.select(
-        F.col(anchor_ts).alias("at"),
-        second_no(anchor_ts).alias("sec"),
-        F.struct(*[fields[c].alias(c) for c in anchors.columns]).alias("anchor"),
+    columns = anchors.columns
+    rest = [c for c in columns if c != anchor_ts and c not in tie_break]
+    order = [e for i, c in enumerate(tie_break) for e in (f"'null_{i}', {c} IS NULL", f"'{c}', {c}")]
+    fields = order + [f"'{c}', {c}" for c in rest]
+    anchor = ", ".join(f"'{c}', at" if c == anchor_ts else f"'{c}', best.{c}" for c in columns)
+    return (
+        anchors.where(f"{anchor_ts} IS NOT NULL")
+        .groupBy(F.col(anchor_ts).alias("at"))
+        .agg(F.expr(f"min(named_struct({', '.join(fields)})) AS best"))
+        .selectExpr("at", f"{second_no('at')} AS sec", f"named_struct({anchor}) AS anchor")
     )
 
 
@@ -51,17 +50,16 @@ def _carried_in(instants: DataFrame, point_counts: DataFrame, tolerance_s: int,
     bucket = bucket_no("sec", tolerance_s)
     last_of_slice = (
         instants.groupBy("sec")
-        .agg(F.max_by("anchor", "at").alias("anchor"))
-        .select("sec", F.explode(F.array(bucket, bucket + 1)).alias("bucket"), "anchor")
+        .agg(F.expr("max_by(anchor, at) AS anchor"))
+        .selectExpr("sec", f"explode(array({bucket}, {bucket} + 1)) AS bucket", "anchor")
     )
-    asked = point_counts.select("sec", bucket.alias("bucket"), "rows")
-    earlier = Window.partitionBy("bucket").orderBy("sec").rangeBetween(Window.unboundedPreceding, -1)
-    salts = F.sequence(F.lit(0), salt_count(F.col("rows"), rows_per_task) - 1)
+    asked = point_counts.selectExpr("sec", f"{bucket} AS bucket", "rows")
+    earlier = "(PARTITION BY bucket ORDER BY sec RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     return (
         asked.unionByName(last_of_slice, allowMissingColumns=True)
-        .select("sec", "rows", F.last("anchor", ignorenulls=True).over(earlier).alias("anchor"))
+        .selectExpr("sec", "rows", f"last(anchor, true) OVER {earlier} AS anchor")
         .where("rows IS NOT NULL AND anchor IS NOT NULL")
-        .select("sec", "anchor", F.explode(salts).alias(SALT))
+        .selectExpr("sec", "anchor", f"explode(sequence(0, {salt_count(rows_per_task)} - 1)) AS {SALT}")
     )
 
 
@@ -75,28 +73,21 @@ def asof_join(
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Columns of ``points`` and of the matched anchor; points without one are left out."""
-    timed = points.where(F.col(point_ts).isNotNull()).withColumn("sec", second_no(point_ts))
+    timed = points.where(f"{point_ts} IS NOT NULL").selectExpr("*", f"{second_no(point_ts)} AS sec")
     counts = key_counts(timed.select("sec"), "sec")
     hot = hot_keys(counts, "sec", rows_per_task)
     instants = one_per_instant(anchors, anchor_ts, tie_break)
 
-    carried = _carried_in(instants, counts, tolerance_s, rows_per_task).select(
-        "sec", F.col(f"anchor.{anchor_ts}").alias("at"), "anchor", SALT
-    )
-    known = replicate(instants, "sec", hot).unionByName(carried).withColumn("is_point", F.lit(False))
-    asked = spread(timed, "sec", hot).select(
-        "sec",
-        SALT,
-        F.col(point_ts).alias("at"),
-        F.lit(True).alias("is_point"),
-        F.struct(*points.columns).alias("point"),
-    )
+    carried = _carried_in(instants, counts, tolerance_s, rows_per_task)
+    carried = carried.selectExpr(f"anchor.{anchor_ts} AS at", "sec", "anchor", SALT, "false AS is_point")
+    known = replicate(instants, "sec", hot).selectExpr("at", "sec", "anchor", SALT, "false AS is_point")
+    point = f"struct({', '.join(points.columns)}) AS point"
+    asked = spread(timed, "sec", hot).selectExpr("sec", SALT, f"{point_ts} AS at", "true AS is_point", point)
     # At one instant the anchor comes first: an anchor reaches the points of its own instant.
-    so_far = Window.partitionBy("sec", SALT).orderBy("at", "is_point").rowsBetween(Window.unboundedPreceding, 0)
+    so_far = f"(PARTITION BY sec, {SALT} ORDER BY at, is_point ROWS UNBOUNDED PRECEDING)"
     return (
-        asked.unionByName(known, allowMissingColumns=True)
-        .withColumn("anchor", F.last("anchor", ignorenulls=True).over(so_far))
-        .where("is_point")
-        .where(F.col("at") <= shift_seconds(f"anchor.{anchor_ts}", tolerance_s))
+        asked.unionByName(known.unionByName(carried), allowMissingColumns=True)
+        .selectExpr("at", "is_point", "point", f"last(anchor, true) OVER {so_far} AS anchor")
+        .where(f"is_point AND at <= {shifted(f'anchor.{anchor_ts}', tolerance_s)}")
         .select("point.*", "anchor.*")
     )

@@ -10,9 +10,8 @@ keep the residual from rejecting more than a sliver of what the join pairs up.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from spotlift.functions.timing import minute_no, shift_seconds
+from spotlift.functions.timing import minute_no, shifted
 from spotlift.operators.salting import ROWS_PER_TASK, SALT, hot_keys, key_counts, replicate, spread
 
 
@@ -31,17 +30,15 @@ def interval_join(
     slice; nothing downstream in this library is computed from it. Slices with many points
     are spread over several tasks.
     """
-    left = points.where(F.col(point_ts).isNotNull()).withColumn("slice", minute_no(point_ts))
-    first = shift_seconds(anchor_ts, -before_s)
-    last = shift_seconds(anchor_ts, after_s)
-    right = anchors.where(F.col(anchor_ts).isNotNull()).withColumn(
-        "slice", F.explode(F.sequence(minute_no(first), minute_no(last)))
+    first, last = shifted(anchor_ts, -before_s), shifted(anchor_ts, after_s)
+    left = points.where(f"{point_ts} IS NOT NULL").selectExpr("*", f"{minute_no(point_ts)} AS slice")
+    right = anchors.where(f"{anchor_ts} IS NOT NULL").selectExpr(
+        "*", f"explode(sequence({minute_no(first)}, {minute_no(last)})) AS slice"
     )
     hot = hot_keys(key_counts(left.select("slice"), "slice"), "slice", rows_per_task)
-    in_reach = F.col(point_ts).between(first, last)
     return (
         spread(left, "slice", hot)
         .join(replicate(right, "slice", hot), ["slice", SALT])
-        .where(in_reach)
+        .where(f"{point_ts} BETWEEN {first} AND {last}")
         .drop("slice", SALT)
     )

@@ -7,7 +7,7 @@ and a task that is run again gives every row the same salt.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SALT = "salt"
@@ -16,7 +16,11 @@ ROWS_PER_TASK = 1_000_000
 
 def key_counts(df: DataFrame, key: str) -> DataFrame:
     """Rows per key, combined on the map side."""
-    return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("rows"))
+    return df.where(f"{key} IS NOT NULL").groupBy(key).agg(F.expr("count(*) AS rows"))
+
+
+def salt_count(rows_per_task: int = ROWS_PER_TASK) -> str:
+    return f"cast(ceil(rows / {int(rows_per_task)}) AS int)"
 
 
 def hot_keys(counts: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
@@ -26,24 +30,22 @@ def hot_keys(counts: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) ->
     rows / rows_per_task entries: with a million rows per task, 10^12 rows give at most 10^6
     entries of 16 bytes. That bound is what allows the broadcasts below.
     """
-    return counts.where(F.col("rows") > rows_per_task).select(
-        key, salt_count(F.col("rows"), rows_per_task).alias("salts")
-    )
-
-
-def salt_count(rows: Column, rows_per_task: int = ROWS_PER_TASK) -> Column:
-    return F.ceil(rows / F.lit(rows_per_task)).cast("int")
+    return counts.where(f"rows > {int(rows_per_task)}").selectExpr(key, f"{salt_count(rows_per_task)} AS salts")
 
 
 def spread(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     """Give each row one of its key's salts."""
-    salts = F.coalesce(F.col("salts"), F.lit(1))
-    salted = df.join(F.broadcast(hot), key, "left")
-    return salted.select(*df.columns, F.pmod(F.spark_partition_id(), salts).alias(SALT))
+    return (
+        df.join(F.broadcast(hot), key, "left")
+        .withColumn(SALT, F.expr("pmod(spark_partition_id(), coalesce(salts, 1))"))
+        .drop("salts")
+    )
 
 
 def replicate(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     """Copy each row to all salts of its key."""
-    salts = F.coalesce(F.col("salts"), F.lit(1))
-    copied = df.join(F.broadcast(hot), key, "left")
-    return copied.select(*df.columns, F.explode(F.sequence(F.lit(0), salts - 1)).alias(SALT))
+    return (
+        df.join(F.broadcast(hot), key, "left")
+        .withColumn(SALT, F.expr("explode(sequence(0, coalesce(salts, 1) - 1))"))
+        .drop("salts")
+    )

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from spotlift.functions.response import clean_label
+
 # ``concat`` yields null when a part is null; ``concat_ws`` would skip the part.
 SPOT_COLUMNS = (
     "spot_id",
@@ -23,8 +25,8 @@ SESSION_COLUMNS = (
     "session_id",
     "user_id",
     "cast(session_timestamp AS timestamp_ntz) AS session_ts",
-    "lower(trim(device_type)) AS device_type",
-    "lower(trim(session_source)) AS session_source",
+    f"{clean_label('device_type')} AS device_type",
+    f"{clean_label('session_source')} AS session_source",
 )
 CAMPAIGN_COLUMNS = (
     "campaign_id",

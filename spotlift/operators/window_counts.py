@@ -14,43 +14,32 @@ with all counts running from the start of their own bucket.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spotlift.functions.timing import second_no, bucket_no, shift_seconds
-
-
-def _probe(kind: int, at, sec, before_sign: int, after_sign: int, before_total: int, after_total: int):
-    return F.struct(
-        F.lit(kind).alias("kind"),
-        at.alias("at"),
-        sec.alias("sec"),
-        F.lit(before_sign).alias("before_sign"),
-        F.lit(after_sign).alias("after_sign"),
-        F.lit(before_total).alias("before_total"),
-        F.lit(after_total).alias("after_total"),
-    )
+from spotlift.functions.timing import bucket_no, second_no, shifted
 
 
 def _probes(anchors: DataFrame, anchor_ts: str, window_s: int) -> DataFrame:
     """Four readings of the running count per distinct anchor instant.
 
     Kind 0 sorts ahead of the points of its instant and reads "<"; kind 2 sorts behind them
-    and reads "<=".
+    and reads "<=". The other fields say with which sign the reading, and the total of its
+    bucket, enter the two counts.
     """
-    t, sec = F.col(anchor_ts), F.col("sec")
-    readings = F.array(
-        _probe(0, shift_seconds(t, -window_s), sec - window_s, -1, 0, 1, 0),
-        _probe(0, t, sec, 0, -1, 0, 1),
-        _probe(2, t, sec, 1, 0, 0, 0),
-        _probe(2, shift_seconds(t, window_s), sec + window_s, 0, 1, 0, 0),
+    fields = "kind, at, sec, before_sign, after_sign, before_total, after_total"
+    readings = (
+        f"0, {shifted(anchor_ts, -window_s)}, sec - {window_s}, -1, 0, 1, 0",
+        f"0, {anchor_ts}, sec, 0, -1, 0, 1",
+        f"2, {anchor_ts}, sec, 1, 0, 0, 0",
+        f"2, {shifted(anchor_ts, window_s)}, sec + {window_s}, 0, 1, 0, 0",
     )
     return (
-        anchors.where(t.isNotNull())
+        anchors.where(f"{anchor_ts} IS NOT NULL")
         .select(anchor_ts)
         .distinct()
-        .withColumn("sec", second_no(anchor_ts))
-        .select(anchor_ts, F.inline(readings))
+        .selectExpr(anchor_ts, f"{second_no(anchor_ts)} AS sec")
+        .selectExpr(anchor_ts, f"stack(4, {', '.join(readings)}) AS ({fields})")
     )
 
 
@@ -62,40 +51,38 @@ def counts_around(
     # Grouping by the second as well changes nothing in the result, but both uses below then
     # read the same shuffle: the null filters Spark infers on ``sec`` find one in place.
     instants = (
-        points.select(F.col(point_ts).alias("at"), second_no(point_ts).alias("sec"))
+        points.selectExpr(f"{point_ts} AS at", f"{second_no(point_ts)} AS sec")
         .where("at IS NOT NULL AND sec IS NOT NULL")
         .groupBy("at", "sec")
-        .agg(F.count("*").alias("n"))
-        .withColumn("kind", F.lit(1))
+        .agg(F.expr("count(*) AS n"))
     )
     probes = _probes(anchors, anchor_ts, window_s)
 
-    running = Window.partitionBy("sec").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    in_order = "(PARTITION BY sec ORDER BY at, kind ROWS UNBOUNDED PRECEDING)"
     in_slice = (
-        probes.unionByName(instants, allowMissingColumns=True)
-        .withColumn("in_slice", F.coalesce(F.sum("n").over(running), F.lit(0)))
+        probes.unionByName(instants.selectExpr("*", "1 AS kind"), allowMissingColumns=True)
+        .selectExpr("*", f"coalesce(sum(n) OVER {in_order}, 0) AS in_slice")
         .where("kind <> 1")
     )
 
-    in_bucket = Window.partitionBy("bucket")
-    earlier = in_bucket.orderBy("sec").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = "(PARTITION BY bucket ORDER BY sec ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     slices = (
         instants.select("sec", "n")
-        .unionByName(probes.select("sec", F.lit(0).cast("long").alias("n")))
+        .unionByName(probes.selectExpr("sec", "0L AS n"))
         .groupBy("sec")
-        .agg(F.sum("n").alias("n"))
-        .withColumn("bucket", bucket_no("sec", window_s))
-        .withColumn("earlier", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-        .withColumn("total", F.sum("n").over(in_bucket))
-        .select("sec", "earlier", "total")
+        .agg(F.expr("sum(n) AS n"))
+        .selectExpr("sec", "n", f"{bucket_no('sec', window_s)} AS bucket")
+        .selectExpr(
+            "sec", f"coalesce(sum(n) OVER {earlier}, 0) AS earlier", "sum(n) OVER (PARTITION BY bucket) AS total"
+        )
     )
 
-    reading = F.col("earlier") + F.col("in_slice")
+    reading = "(earlier + in_slice)"
     return (
         in_slice.join(slices, "sec")
         .groupBy(anchor_ts)
         .agg(
-            F.sum(F.col("before_sign") * reading + F.col("before_total") * F.col("total")).alias("before"),
-            F.sum(F.col("after_sign") * reading + F.col("after_total") * F.col("total")).alias("after"),
+            F.expr(f"sum(before_sign * {reading} + before_total * total) AS before"),
+            F.expr(f"sum(after_sign * {reading} + after_total * total) AS after"),
         )
     )

@@ -48,7 +48,7 @@ def _spot_side(spots: DataFrame) -> DataFrame:
 
 
 def _with_minutes(pairs: DataFrame) -> DataFrame:
-    return pairs.select(*CANDIDATE_COLUMNS, minutes_between("spot_ts", "session_ts").alias("minutes_after_spot"))
+    return pairs.selectExpr(*CANDIDATE_COLUMNS, f"{minutes_between('spot_ts', 'session_ts')} AS minutes_after_spot")
 
 
 def session_spot_candidates(
@@ -79,12 +79,12 @@ def attributed_sessions(nearest: DataFrame) -> DataFrame:
     very often arrives as one row per map task.
     """
     rest = [c for c in CANDIDATE_COLUMNS if c not in ("session_id", "spot_id", "spot_ts")]
-    best_first = Window.partitionBy("session_id").orderBy(
-        "minutes_after_spot", F.desc("spot_ts"), F.asc_nulls_last("spot_id"), *rest
+    best_first = f"minutes_after_spot, spot_ts DESC, spot_id ASC NULLS LAST, {', '.join(rest)}"
+    return (
+        nearest.selectExpr("*", f"row_number() OVER (PARTITION BY session_id ORDER BY {best_first}) AS attribution_rank")
+        .where("attribution_rank = 1")
+        .withColumn("attribution_rank", F.expr("cast(attribution_rank AS bigint)"))
     )
-    return nearest.withColumn("attribution_rank", F.row_number().over(best_first)).where(
-        "attribution_rank = 1"
-    ).withColumn("attribution_rank", F.col("attribution_rank").cast("long"))
 
 
 def pre_post_spot_sessions(sessions: DataFrame, spots: DataFrame, window_s: int = WINDOW_S) -> DataFrame:
@@ -92,13 +92,12 @@ def pre_post_spot_sessions(sessions: DataFrame, spots: DataFrame, window_s: int
 
     A spot listed several times counts its sessions that many times.
     """
-    listed = spots.groupBy(*_SPOT_KEYS).agg(F.count("*").alias("times"))
+    listed = spots.groupBy(*_SPOT_KEYS).agg(F.expr("count(*) AS times"))
     around = counts_around(spots, sessions, "spot_ts", "session_ts", window_s)
-    zero = F.lit(0).cast("long")
-    return listed.join(around, "spot_ts", "left").select(
+    return listed.join(around, "spot_ts", "left").selectExpr(
         *_SPOT_KEYS,
-        (F.coalesce("before", zero) * F.col("times")).alias("pre_spot_sessions"),
-        (F.coalesce("after", zero) * F.col("times")).alias("post_spot_sessions"),
+        "coalesce(before, 0) * times AS pre_spot_sessions",
+        "coalesce(after, 0) * times AS post_spot_sessions",
     )
 
 
@@ -106,8 +105,7 @@ def fact_campaign_sessions(attributed: DataFrame, campaigns: DataFrame, channels
     return (
         attributed.join(campaigns.select("campaign_id", "campaign_name", "brand"), "campaign_id", "left")
         .join(channels, "channel_id", "left")
-        .withColumn("attribution_flag", F.lit(1))
-        .select(*FACT_COLUMNS)
+        .selectExpr(*FACT_COLUMNS[:-1], "1 AS attribution_flag")
     )
 
 
@@ -121,13 +119,15 @@ def campaign_effectiveness(
     pre_post: DataFrame, fact: DataFrame, campaigns: DataFrame, channels: DataFrame
 ) -> DataFrame:
     lift = lift_pct("pre_spot_sessions", "post_spot_sessions")
+    computed = {
+        "incremental_lift_pct": lift,
+        "attributed_sessions": "coalesce(attributed_sessions, 0)",
+    }
     return (
         pre_post.join(attributed_by_spot(fact), "spot_id", "left")
         .join(campaigns.select("campaign_id", "campaign_name", "brand", "budget"), "campaign_id", "left")
         .join(channels.select("channel_id", "channel_name", "channel_type"), "channel_id", "left")
-        .withColumn("incremental_lift_pct", lift)
-        .withColumn("attributed_sessions", F.coalesce("attributed_sessions", F.lit(0).cast("long")))
-        .select(*EFFECTIVENESS_COLUMNS)
+        .selectExpr(*[f"{computed[c]} AS {c}" if c in computed else c for c in EFFECTIVENESS_COLUMNS])
     )
 
 

@@ -98,10 +98,10 @@ def chart_pre_post(effectiveness: DataFrame) -> DataFrame:
         "post_spot_sessions",
         F.coalesce("incremental_lift_pct", F.lit(0.0)).alias("incremental_lift_pct"),
         "attributed_sessions",
-    ).orderBy("spot_id")
+    ).orderBy("spot_id", "campaign_id")
 
 
 def chart_anomaly(scores: DataFrame) -> DataFrame:
     return scores.select(
         "spot_id", "campaign_id", "incremental_lift_pct", "anomaly_score", "is_abnormal_response", "response_segment"
-    ).orderBy("spot_id")
+    ).orderBy("spot_id", "campaign_id")

@@ -258,8 +258,8 @@ def key_checks(df: DataFrame, table: str, key: str) -> DataFrame:
 
 def attribution_failures(df: DataFrame, impression: str, conversion: str, max_days: int = 7) -> DataFrame:
     """``(invalid_rows)``: conversions before their impression or more than ``max_days`` after it."""
-    late = days_between(impression, conversion) > max_days
-    return failing_rows(df, {"invalid_rows": (F.col(conversion) < F.col(impression)) | late})
+    late = f"{days_between(impression, conversion)} > {int(max_days)}"
+    return failing_rows(df, {"invalid_rows": f"{conversion} < {impression} OR {late}"})
 
 
 def rate_failures(df: DataFrame, rates: Sequence[str], low: float = 0, high: float = 1) -> DataFrame:

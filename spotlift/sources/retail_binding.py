@@ -8,8 +8,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from spotlift.operators import staging
 from spotlift.plans import marts
@@ -31,11 +30,6 @@ TABLE_SCHEMAS = {
 }
 
 
-def _device_label(event_id: Column) -> Column:
-    kind = event_id % 3
-    return F.when(kind == 0, "  Mobile ").when(kind == 1, "DESKTOP").otherwise(" Tablet")
-
-
 class RetailTables:
     """Raw, staged and derived frames over one folder of test tables; all lazy."""
 
@@ -48,47 +42,46 @@ class RetailTables:
 
     @cached_property
     def raw_spots(self) -> DataFrame:
-        stamp = F.col("ts").cast("string")
-        return self.table("events").where("event_type = 'purchase'").select(
-            F.col("event_id").alias("spot_id"),
-            F.col("user_id").alias("campaign_id"),
-            (F.col("event_id") % 27).alias("channel_id"),
-            F.substring(stamp, 1, 10).alias("spot_date"),
-            F.substring(stamp, 12, 15).alias("spot_time"),
-            F.col("value").alias("grp_value"),
-            F.get_json_object("props", "$.k").cast("int").alias("spot_duration_sec"),
+        return self.table("events").where("event_type = 'purchase'").selectExpr(
+            "event_id AS spot_id",
+            "user_id AS campaign_id",
+            "event_id % 27 AS channel_id",
+            "substring(cast(ts AS string), 1, 10) AS spot_date",
+            "substring(cast(ts AS string), 12, 15) AS spot_time",
+            "value AS grp_value",
+            "cast(get_json_object(props, '$.k') AS int) AS spot_duration_sec",
         )
 
     @cached_property
     def raw_sessions(self) -> DataFrame:
-        return self.table("events").where(F.col("event_type").isin("view", "click")).select(
-            F.col("event_id").alias("session_id"),
+        return self.table("events").where("event_type IN ('view', 'click')").selectExpr(
+            "event_id AS session_id",
             "user_id",
-            F.col("ts").cast("string").alias("session_timestamp"),
-            _device_label(F.col("event_id")).alias("device_type"),
-            F.concat(F.lit(" "), F.upper("event_type"), F.lit(" ")).alias("session_source"),
+            "cast(ts AS string) AS session_timestamp",
+            "element_at(array('  Mobile ', 'DESKTOP', ' Tablet'), 1 + cast(event_id % 3 AS int)) AS device_type",
+            "concat(' ', upper(event_type), ' ') AS session_source",
         )
 
     @cached_property
     def raw_campaigns(self) -> DataFrame:
-        start = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("p_partkey") % 30).cast("int"))
-        return self.table("part").select(
-            F.col("p_partkey").alias("campaign_id"),
-            F.col("p_name").alias("campaign_name"),
-            F.col("p_brand").alias("brand"),
-            start.cast("string").alias("start_date"),
-            F.date_add(start, 10).cast("string").alias("end_date"),
-            F.col("p_retailprice").alias("budget"),
+        start = "date_add(date'2024-01-01', cast(p_partkey % 30 AS int))"
+        return self.table("part").selectExpr(
+            "p_partkey AS campaign_id",
+            "p_name AS campaign_name",
+            "p_brand AS brand",
+            f"cast({start} AS string) AS start_date",
+            f"cast(date_add({start}, 10) AS string) AS end_date",
+            "p_retailprice AS budget",
         )
 
     @cached_property
     def raw_channels(self) -> DataFrame:
-        nation, region = self.table("nation"), self.table("region")
-        return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-            F.col("n_nationkey").cast("long").alias("channel_id"),
-            F.concat(F.lit("ODEC_"), "n_name").alias("odec_channel_code"),
-            F.col("n_name").alias("channel_name"),
-            F.col("r_name").alias("channel_type"),
+        regions = self.table("region").withColumnRenamed("r_regionkey", "n_regionkey")
+        return self.table("nation").join(regions, "n_regionkey").selectExpr(
+            "cast(n_nationkey AS bigint) AS channel_id",
+            "concat('ODEC_', n_name) AS odec_channel_code",
+            "n_name AS channel_name",
+            "r_name AS channel_type",
         )
 
     @property

@@ -15,7 +15,7 @@ from spotlift.operators.scaling import Scaler
 
 def test_lift_rules(spark):
     df = spark.createDataFrame([(0, 5), (0, 0), (2, 4), (2, 1), (3, 4), (4, 0)], "pre long, post long")
-    got = [r[0] for r in df.select(lift_pct("pre", "post")).collect()]
+    got = [r[0] for r in df.selectExpr(lift_pct("pre", "post")).collect()]
     assert got == [100.0, 0.0, 100.0, -50.0, 33.33, -100.0]
 
 
@@ -39,7 +39,7 @@ def test_segment_rules(spark):
 
 def test_clean_label(spark):
     df = spark.createDataFrame([("  MoBile ",), (None,)], "x string")
-    assert [r[0] for r in df.select(clean_label("x")).collect()] == ["mobile", None]
+    assert [r[0] for r in df.selectExpr(clean_label("x")).collect()] == ["mobile", None]
 
 
 def test_text_to_number(spark):
