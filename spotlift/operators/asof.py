@@ -1,7 +1,9 @@
 """As-of join: each point with the latest anchor at or before it, within a tolerance.
 
-The candidate pairs are never formed. Time is laid out in two levels: slices of one second,
-and buckets as long as the tolerance.
+The candidate pairs are never formed. Where the anchors make a small index (see
+``reach_index``; its size is measured first) it is broadcast and the points stay where they
+are. Otherwise time is laid out in two levels: slices of one second, and buckets as long as
+the tolerance.
 
 * Within a slice, points and anchors are sorted together and the last anchor seen is carried
   along. Anchors are first reduced to one per instant, so a slice holds at most 10^6 of them
@@ -21,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spotlift.functions.timing import bucket_no, second_no, shifted
+from spotlift.operators.reach_index import BROADCAST_BYTES, build_index, fits, locate
 from spotlift.operators.salting import ROWS_PER_TASK, SALT, hot_keys, key_counts, replicate, salt_count, spread
 
 
@@ -71,13 +74,27 @@ def asof_join(
     tolerance_s: int,
     tie_break: Sequence[str],
     rows_per_task: int = ROWS_PER_TASK,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """Columns of ``points`` and of the matched anchor; points without one are left out.
+
+    Runs one job over the anchors to choose the way; ``broadcast_bytes=0`` skips it and
+    shuffles.
+    """
+    instants = one_per_instant(anchors, anchor_ts, tie_break)
+    if broadcast_bytes > 0:
+        index = build_index(instants, tolerance_s, "anchor")
+        if fits(index, broadcast_bytes, "anchor"):
+            return locate(points, point_ts, index).selectExpr(*points.columns, "anchor.*")
+    return _shuffled_asof(points, instants, point_ts, anchor_ts, tolerance_s, rows_per_task)
+
+
+def _shuffled_asof(
+    points: DataFrame, instants: DataFrame, point_ts: str, anchor_ts: str, tolerance_s: int, rows_per_task: int
 ) -> DataFrame:
-    """Columns of ``points`` and of the matched anchor; points without one are left out."""
     timed = points.where(f"{point_ts} IS NOT NULL").selectExpr("*", f"{second_no(point_ts)} AS sec")
     counts = key_counts(timed.select("sec"), "sec")
     hot = hot_keys(counts, "sec", rows_per_task)
-    instants = one_per_instant(anchors, anchor_ts, tie_break)
-
     carried = _carried_in(instants, counts, tolerance_s, rows_per_task)
     carried = carried.selectExpr(f"anchor.{anchor_ts} AS at", "sec", "anchor", SALT, "false AS is_point")
     known = replicate(instants, "sec", hot).selectExpr("at", "sec", "anchor", SALT, "false AS is_point")

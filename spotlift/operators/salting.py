@@ -1,8 +1,8 @@
 """Splitting hot keys over several tasks.
 
 A key is hot when more than ``rows_per_task`` rows carry it. Rows of a hot key are spread by
-the input partition they come from, not by their content: identical copies spread as well,
-and a task that is run again gives every row the same salt.
+their content and by the input partition they come from: identical copies spread as well, and
+a task that is run again gives every row the same salt.
 """
 
 from __future__ import annotations
@@ -35,9 +35,10 @@ def hot_keys(counts: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) ->
 
 def spread(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     """Give each row one of its key's salts."""
+    content = f"pmod(xxhash64({', '.join(df.columns)}), salts)"
     return (
         df.join(F.broadcast(hot), key, "left")
-        .withColumn(SALT, F.expr("pmod(spark_partition_id(), coalesce(salts, 1))"))
+        .withColumn(SALT, F.expr(f"if(salts IS NULL, 0, cast(pmod({content} + spark_partition_id(), salts) AS int))"))
         .drop("salts")
     )
 

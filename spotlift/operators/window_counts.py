@@ -2,7 +2,8 @@
 
 The count over a stretch of time is the difference of two running counts, so the cost is
 linear in points and anchors however dense the traffic is. Points are reduced to one row per
-instant before anything else. Running counts have two levels: within a slice of one second
+instant before anything else, or, where the anchors make a small index (see ``reach_index``),
+to one row per stretch between two readings. Running counts have two levels: within a slice of one second
 (at most 10^6 instants), and over the slice totals of a bucket as long as the window. From an
 anchor at ``t`` in bucket ``b`` the window reaches exactly into ``b - 1`` and ``b + 1``, so
 
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spotlift.functions.timing import bucket_no, second_no, shifted
+from spotlift.operators.reach_index import BROADCAST_BYTES, build_index, fits, locate
 
 
 def _probes(anchors: DataFrame, anchor_ts: str, window_s: int) -> DataFrame:
@@ -43,20 +45,57 @@ def _probes(anchors: DataFrame, anchor_ts: str, window_s: int) -> DataFrame:
     )
 
 
-def counts_around(
-    anchors: DataFrame, points: DataFrame, anchor_ts: str, point_ts: str, window_s: int
-) -> DataFrame:
-    """``(anchor_ts, before, after)`` per distinct anchor instant; both window ends count,
-    and a point at the very instant counts on both sides."""
-    # Grouping by the second as well changes nothing in the result, but both uses below then
-    # read the same shuffle: the null filters Spark infers on ``sec`` find one in place.
-    instants = (
+def _instants(points: DataFrame, point_ts: str) -> DataFrame:
+    """``(at, sec, n)``: points per instant.
+
+    Grouping by the second as well changes nothing in the result, but both uses of the frame
+    then read the same shuffle: the null filters Spark infers on ``sec`` find one in place.
+    """
+    return (
         points.selectExpr(f"{point_ts} AS at", f"{second_no(point_ts)} AS sec")
         .where("at IS NOT NULL AND sec IS NOT NULL")
         .groupBy("at", "sec")
         .agg(F.expr("count(*) AS n"))
     )
+
+
+def _merged_instants(points: DataFrame, point_ts: str, index: DataFrame, window_s: int) -> DataFrame:
+    """``(at, sec, n)`` with all points between two neighbouring readings merged into the first.
+
+    No reading falls between them and they share a bucket, so every count stays the same;
+    points out of reach of all anchors drop out of totals and readings alike. The points are
+    counted on the map side, only the counts are shuffled.
+    """
+    bucket = bucket_no(second_no(point_ts), window_s)
+    return (
+        locate(points.select(point_ts), point_ts, index)
+        .groupBy("since", F.expr(f"{point_ts} = since AS at_reading"), F.expr(f"{bucket} AS bucket"))
+        .agg(F.expr(f"min({point_ts}) AS at"), F.expr("count(*) AS n"))
+        .selectExpr("at", f"{second_no('at')} AS sec", "n")
+        .where("at IS NOT NULL AND sec IS NOT NULL")
+    )
+
+
+def counts_around(
+    anchors: DataFrame,
+    points: DataFrame,
+    anchor_ts: str,
+    point_ts: str,
+    window_s: int,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """``(anchor_ts, before, after)`` per distinct anchor instant; both window ends count,
+    and a point at the very instant counts on both sides.
+
+    Runs one job over the anchors to see whether they make a broadcastable index;
+    ``broadcast_bytes=0`` skips it.
+    """
     probes = _probes(anchors, anchor_ts, window_s)
+    instants = _instants(points, point_ts)
+    if broadcast_bytes > 0:
+        index = build_index(probes.select("at").distinct(), window_s)
+        if fits(index, broadcast_bytes):
+            instants = _merged_instants(points, point_ts, index, window_s)
 
     in_order = "(PARTITION BY sec ORDER BY at, kind ROWS UNBOUNDED PRECEDING)"
     in_slice = (

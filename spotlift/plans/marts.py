@@ -15,6 +15,7 @@ from spotlift.functions.response import lift_pct
 from spotlift.functions.timing import minutes_between
 from spotlift.operators.asof import asof_join
 from spotlift.operators.interval_join import interval_join
+from spotlift.operators.reach_index import BROADCAST_BYTES
 from spotlift.operators.salting import ROWS_PER_TASK
 from spotlift.operators.window_counts import counts_around
 
@@ -60,11 +61,16 @@ def session_spot_candidates(
 
 
 def nearest_spots(
-    sessions: DataFrame, spots: DataFrame, window_s: int = WINDOW_S, rows_per_task: int = ROWS_PER_TASK
+    sessions: DataFrame,
+    spots: DataFrame,
+    window_s: int = WINDOW_S,
+    rows_per_task: int = ROWS_PER_TASK,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Each session row with the latest spot aired up to 15 minutes before it."""
+    spots = _spot_side(spots)
     nearest = asof_join(
-        sessions, _spot_side(spots), "session_ts", "spot_ts", window_s, ["spot_id"], rows_per_task
+        sessions, spots, "session_ts", "spot_ts", window_s, ["spot_id"], rows_per_task, broadcast_bytes
     )
     return _with_minutes(nearest)
 
@@ -87,13 +93,15 @@ def attributed_sessions(nearest: DataFrame) -> DataFrame:
     )
 
 
-def pre_post_spot_sessions(sessions: DataFrame, spots: DataFrame, window_s: int = WINDOW_S) -> DataFrame:
+def pre_post_spot_sessions(
+    sessions: DataFrame, spots: DataFrame, window_s: int = WINDOW_S, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """Sessions in the 15 minutes up to and from each spot; zero where there are none.
 
     A spot listed several times counts its sessions that many times.
     """
     listed = spots.groupBy(*_SPOT_KEYS).agg(F.expr("count(*) AS times"))
-    around = counts_around(spots, sessions, "spot_ts", "session_ts", window_s)
+    around = counts_around(spots, sessions, "spot_ts", "session_ts", window_s, broadcast_bytes)
     return listed.join(around, "spot_ts", "left").selectExpr(
         *_SPOT_KEYS,
         "coalesce(before, 0) * times AS pre_spot_sessions",

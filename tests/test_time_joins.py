@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spotlift.functions.timing import days_between, minute_no, minutes_between, second_no
+from spotlift.operators.reach_index import BROADCAST_BYTES
 from spotlift.plans import marts
 
 BASE = datetime(2024, 3, 10, 1, 45)  # the night clocks change in New York
@@ -91,19 +92,20 @@ def test_candidates_are_all_pairs(spark, case, rows_per_task):
     assert sorted(got) == sorted(brute_force.pairs(sessions, spots))
 
 
-@pytest.mark.parametrize("rows_per_task", [1_000_000, 3])
-def test_nearest_spot_per_session(spark, case, rows_per_task):
+@pytest.mark.parametrize("way", [{"broadcast_bytes": 0}, {"broadcast_bytes": 0, "rows_per_task": 3}, {}])
+def test_nearest_spot_per_session(spark, case, way):
     sessions, spots = case
-    df = marts.nearest_spots(
-        session_frame(spark, sessions).repartition(4), spot_frame(spark, spots), rows_per_task=rows_per_task
-    )
+    df = marts.nearest_spots(session_frame(spark, sessions).repartition(4), spot_frame(spark, spots), **way)
     got = [(r.session_id, r.session_ts, r.spot_id) for r in df.collect()]
     assert sorted(got) == sorted(brute_force.nearest(sessions, spots))
 
 
-def test_counts_around_spots(spark, case):
+@pytest.mark.parametrize("broadcast_bytes", [0, BROADCAST_BYTES])
+def test_counts_around_spots(spark, case, broadcast_bytes):
     sessions, spots = case
-    df = marts.pre_post_spot_sessions(session_frame(spark, sessions), spot_frame(spark, spots))
+    df = marts.pre_post_spot_sessions(
+        session_frame(spark, sessions), spot_frame(spark, spots), broadcast_bytes=broadcast_bytes
+    )
     got = {(r.spot_id, r.spot_ts): (r.pre_spot_sessions, r.post_spot_sessions) for r in df.collect()}
     assert got == brute_force.around(sessions, spots)
 
@@ -183,7 +185,9 @@ def test_no_nested_loop_or_cartesian_join(spark, threshold):
         for df in (
             marts.session_spot_candidates(sessions, spots),
             marts.attributed_sessions(marts.nearest_spots(sessions, spots)),
+            marts.attributed_sessions(marts.nearest_spots(sessions, spots, broadcast_bytes=0)),
             marts.pre_post_spot_sessions(sessions, spots),
+            marts.pre_post_spot_sessions(sessions, spots, broadcast_bytes=0),
         ):
             plan = executed_plan(df)
             assert "NestedLoop" not in plan
@@ -193,6 +197,15 @@ def test_no_nested_loop_or_cartesian_join(spark, threshold):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_index_is_measured_before_it_is_broadcast(spark):
+    sparse, dense = (spot_frame(spark, CASES[c][1]) for c in ("sparse", "dense"))
+    sessions = session_frame(spark, CASES["sparse"][0])
+    assert "Window" not in executed_plan(marts.nearest_spots(sessions, sparse)).split("BroadcastExchange")[0]
+    for spots, limit in ((sparse, 1000), (dense, BROADCAST_BYTES)):  # too large; too full a minute
+        plan = executed_plan(marts.nearest_spots(sessions, spots, broadcast_bytes=limit))
+        assert "Window" in plan.split("BroadcastExchange")[0]
+
+
 def test_top_attribution_is_taken_before_the_shuffle(spark):
     sessions, spots = (f(spark, rows) for f, rows in zip((session_frame, spot_frame), CASES["sparse"], strict=True))
     assert "WindowGroupLimit" in executed_plan(marts.attributed_sessions(marts.nearest_spots(sessions, spots)))
