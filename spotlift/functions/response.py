@@ -22,7 +22,10 @@ def lift_pct(pre: str, post: str) -> str:
 
 
 def response_segment(lift: Column | str, abnormal: Column | str) -> Column:
-    """Label a spot; the first rule that holds wins. NaN counts as no lift at all."""
+    """Label a spot; the first rule that holds wins. NaN counts as no lift at all.
+
+    Labels and the bound of 50 are fixed values.
+    """
     lift = F.col(lift) if isinstance(lift, str) else lift
     abnormal = F.col(abnormal) if isinstance(abnormal, str) else abnormal
     lift = F.nanvl(lift.cast("double"), F.lit(None).cast("double"))

@@ -22,31 +22,28 @@ _ROW_BYTES = 64
 _STRETCHES_PER_MINUTE = 64
 
 
-def build_index(instants: DataFrame, reach_s: int, payload: str | None = None) -> DataFrame:
-    """``(minute, since, until, last[, payload])`` from distinct instants in column ``at``.
+def build_index(instants: DataFrame, reach_s: int, payload: str) -> DataFrame:
+    """``(minute, since, until, last, payload)`` from distinct instants in column ``at``.
 
     A stretch holds the moments with ``since <= moment <= last`` and ``moment < until``. The
     next instant is looked for in the instant's own bucket and the one after it: nothing
     further can be within reach.
     """
-    extra = [payload] if payload else []
     bucket = bucket_no(second_no("at"), reach_s)
     next_at = "lead(at) OVER (PARTITION BY bucket ORDER BY at)"
     return (
-        instants.selectExpr("at", *extra, f"{bucket} AS own")
+        instants.selectExpr("at", payload, f"{bucket} AS own")
         .selectExpr("*", "explode(array(own - 1, own)) AS bucket")
-        .selectExpr("at AS since", *extra, "bucket = own AS is_own", f"{next_at} AS until")
+        .selectExpr("at AS since", payload, "bucket = own AS is_own", f"{next_at} AS until")
         .where("is_own")
-        .selectExpr("since", "until", f"{shifted('since', reach_s)} AS last", *extra)
+        .selectExpr("since", "until", f"{shifted('since', reach_s)} AS last", payload)
         .selectExpr("*", f"explode(sequence({minute_no('since')}, {minute_no('least(until, last)')})) AS minute")
     )
 
 
-def fits(index: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, payload: str | None = None) -> bool:
+def fits(index: DataFrame, payload: str, broadcast_bytes: int = BROADCAST_BYTES) -> bool:
     """Whether the index may be broadcast. Runs one aggregation over the index."""
-    if broadcast_bytes <= 0:
-        return False
-    size = f"sum({_ROW_BYTES} + octet_length(to_json({payload})))" if payload else f"count(*) * {_ROW_BYTES}"
+    size = f"sum({_ROW_BYTES} + octet_length(to_json({payload})))"
     minutes = index.groupBy("minute").agg(F.expr("count(*) AS stretches"), F.expr(f"{size} AS bytes"))
     found = minutes.agg(F.expr("max(stretches) AS fullest"), F.expr("sum(bytes) AS bytes")).first()
     return found.bytes is None or (found.bytes <= broadcast_bytes and found.fullest <= _STRETCHES_PER_MINUTE)

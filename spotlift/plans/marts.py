@@ -21,6 +21,7 @@ from spotlift.operators.window_counts import counts_around
 
 WINDOW_S = 15 * 60
 
+# Column order of the published tables.
 CANDIDATE_COLUMNS = [
     "session_id", "user_id", "session_ts", "device_type", "session_source",
     "spot_id", "campaign_id", "channel_id", "spot_ts", "spot_date", "grp_value",
@@ -93,15 +94,13 @@ def attributed_sessions(nearest: DataFrame) -> DataFrame:
     )
 
 
-def pre_post_spot_sessions(
-    sessions: DataFrame, spots: DataFrame, window_s: int = WINDOW_S, broadcast_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
+def pre_post_spot_sessions(sessions: DataFrame, spots: DataFrame, window_s: int = WINDOW_S) -> DataFrame:
     """Sessions in the 15 minutes up to and from each spot; zero where there are none.
 
     A spot listed several times counts its sessions that many times.
     """
     listed = spots.groupBy(*_SPOT_KEYS).agg(F.expr("count(*) AS times"))
-    around = counts_around(spots, sessions, "spot_ts", "session_ts", window_s, broadcast_bytes)
+    around = counts_around(spots, sessions, "spot_ts", "session_ts", window_s)
     return listed.join(around, "spot_ts", "left").selectExpr(
         *_SPOT_KEYS,
         "coalesce(before, 0) * times AS pre_spot_sessions",

@@ -24,6 +24,7 @@ from spotlift.sources.csv_files import discover, path_exists, read_text_columns,
 PASSED, FAILED, WARNING = "PASSED", "FAILED", "WARNING"
 _ROW = "check_name string, status string, details string"
 
+# Tables a full run leaves behind.
 EXPECTED_TABLES = (
     "raw.campaign_master",
     "raw.grp_spots",

@@ -13,6 +13,7 @@ WINDOW_MINUTES = 15
 FACT = "marts.fact_campaign_sessions"
 EFFECTIVENESS = "marts.mart_campaign_effectiveness"
 
+# Table and check names, in the order they are reported.
 DQ_CHECKS = (
     RowCheck("raw.grp_spots", "spot_id_not_null", not_null("spot_id")),
     RowCheck("raw.grp_spots", "campaign_id_not_null", not_null("campaign_id")),

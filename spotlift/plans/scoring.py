@@ -13,6 +13,7 @@ from spotlift.operators.isolation_forest import Forest, fit_forest, with_raw_sco
 from spotlift.operators.scaling import Scaler
 from spotlift.session import materialise
 
+# Parameters of the forest.
 TREES = 100
 SAMPLE = 256
 CONTAMINATION = 0.25

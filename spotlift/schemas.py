@@ -15,6 +15,7 @@ def _struct(**fields) -> StructType:
     return StructType([StructField(name, dtype(), True) for name, dtype in fields.items()])
 
 
+# Names and types of the raw columns.
 RAW_SPOTS = _struct(
     spot_id=StringType,
     campaign_id=StringType,
