@@ -82,10 +82,9 @@ def asof_join(
     shuffles.
     """
     instants = one_per_instant(anchors, anchor_ts, tie_break)
-    if broadcast_bytes > 0:
+    if broadcast_bytes > 0 and fits(instants, tolerance_s, "anchor", broadcast_bytes):
         index = build_index(instants, tolerance_s, "anchor")
-        if fits(index, "anchor", broadcast_bytes):
-            return locate(points, point_ts, index).selectExpr(*points.columns, "anchor.*")
+        return locate(points, point_ts, index).selectExpr(*points.columns, "anchor.*")
     return _shuffled_asof(points, instants, point_ts, anchor_ts, tolerance_s, rows_per_task)
 
 

@@ -7,7 +7,7 @@ exact bounds as a filter. With the index broadcast the points are neither shuffl
 and no key of theirs can be hot.
 
 That is only sound while the index is small and no minute lists many stretches, so both are
-measured first (:func:`fits`); callers have a shuffled way for everything else.
+bounded first (:func:`fits`); callers have a shuffled way for everything else.
 """
 
 from __future__ import annotations
@@ -41,12 +41,24 @@ def build_index(instants: DataFrame, reach_s: int, payload: str) -> DataFrame:
     )
 
 
-def fits(index: DataFrame, payload: str, broadcast_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether the index may be broadcast. Runs one aggregation over the index."""
-    size = f"sum({_ROW_BYTES} + octet_length(to_json({payload})))"
-    minutes = index.groupBy("minute").agg(F.expr("count(*) AS stretches"), F.expr(f"{size} AS bytes"))
-    found = minutes.agg(F.expr("max(stretches) AS fullest"), F.expr("sum(bytes) AS bytes")).first()
-    return found.bytes is None or (found.bytes <= broadcast_bytes and found.fullest <= _STRETCHES_PER_MINUTE)
+def fits(instants: DataFrame, reach_s: int, payload: str, broadcast_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether an index over these instants may be broadcast, judged before it is built.
+
+    An instant is listed in its own minute, and a minute is also entered by at most one stretch
+    from earlier. So the index has no more rows than there are instants plus minutes covered,
+    and a minute lists at most one stretch more than it has instants. One aggregation, combined
+    on the map side.
+    """
+    row = f"{_ROW_BYTES} + octet_length(to_json({payload}))"
+    minutes = instants.groupBy(F.expr(f"{minute_no('at')} AS minute")).agg(
+        F.expr("count(*) AS instants"), F.expr(f"sum({row}) AS bytes"), F.expr(f"max({row}) AS widest")
+    )
+    reach = reach_s // 60 + 1
+    covered = f"least({reach} * count(*), max(minute) - min(minute) + {reach})"
+    found = minutes.agg(
+        F.expr("max(instants) AS fullest"), F.expr(f"sum(bytes) + {covered} * max(widest) AS bytes")
+    ).first()
+    return found.bytes is None or (found.bytes <= broadcast_bytes and found.fullest < _STRETCHES_PER_MINUTE)
 
 
 def locate(points: DataFrame, point_ts: str, index: DataFrame) -> DataFrame:

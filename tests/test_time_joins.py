@@ -8,7 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from spotlift.functions.timing import days_between, minute_no, minutes_between, second_no
-from spotlift.operators.reach_index import BROADCAST_BYTES
+from spotlift.operators import reach_index
+from spotlift.operators.asof import one_per_instant
+from spotlift.operators.reach_index import BROADCAST_BYTES, build_index, fits
 from spotlift.plans import marts
 
 BASE = datetime(2024, 3, 10, 1, 45)  # the night clocks change in New York
@@ -202,6 +204,18 @@ def test_index_is_measured_before_it_is_broadcast(spark):
         assert "Window" in plan.split("BroadcastExchange")[0]
 
 
+@pytest.mark.parametrize("name", ["edges", "sparse", "whole_minutes", "dense"])
+def test_index_stays_within_its_announced_size(spark, name):
+    instants = one_per_instant(spot_frame(spark, CASES[name][1]).drop("spot_duration_sec"), "spot_ts", ["spot_id"])
+    index = build_index(instants, 900, "anchor")
+    row = f"{reach_index._ROW_BYTES} + octet_length(to_json(anchor))"
+    used = index.selectExpr(f"sum({row}) AS used").first().used
+    most = index.groupBy("minute").count().selectExpr("max(count) AS most").first().most
+    assert not fits(instants, 900, "anchor", used - 1)
+    if most <= reach_index._STRETCHES_PER_MINUTE:
+        assert fits(instants, 900, "anchor", 40 * used)
+
+
 def test_top_attribution_is_taken_before_the_shuffle(spark):
     sessions, spots = (f(spark, rows) for f, rows in zip((session_frame, spot_frame), CASES["sparse"], strict=True))
     assert "WindowGroupLimit" in executed_plan(marts.attributed_sessions(marts.nearest_spots(sessions, spots)))
