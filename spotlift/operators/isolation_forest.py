@@ -76,16 +76,22 @@ class Forest:
     def to_spark(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.nodes, NODE_SCHEMA)
 
-    def _arrays(self) -> dict[str, np.ndarray]:
-        trees = self.nodes["tree_id"].nunique()
-        width = int(self.nodes["node_id"].max()) + 1
-        place = (self.nodes["tree_id"].rank(method="dense").astype(int) - 1, self.nodes["node_id"])
-        arrays = {}
-        for name in ("feature", "threshold", "left_id", "right_id", "path"):
-            values = self.nodes[name].to_numpy()
-            arrays[name] = np.zeros((trees, width), dtype=values.dtype)
-            arrays[name][place] = values
-        return arrays
+    def flat(self) -> dict[str, np.ndarray]:
+        """Nodes of all trees end to end; a leaf is its own child on both sides."""
+        nodes = self.nodes.sort_values(["tree_id", "node_id"])
+        sizes = nodes.groupby("tree_id").size().to_numpy()
+        roots = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        start = np.repeat(roots, sizes)
+        leaf = nodes["feature"].to_numpy() < 0
+        own = np.arange(len(nodes))
+        return {
+            "roots": roots,
+            "feature": np.where(leaf, 0, nodes["feature"].to_numpy()),
+            "threshold": nodes["threshold"].to_numpy(),
+            "left": np.where(leaf, own, start + nodes["left_id"].to_numpy()),
+            "right": np.where(leaf, own, start + nodes["right_id"].to_numpy()),
+            "path": nodes["path"].to_numpy(),
+        }
 
 
 def draw_samples(
@@ -133,7 +139,9 @@ def fit_forest(
         out.insert(0, "tree_id", tree_id)
         return out
 
-    samples = draw_samples(df, features, key, rows, trees, sample, seed)
+    # The samples are few and small; left alone, adaptive coalescing would put them in one task.
+    tasks = min(trees, 2 * df.sparkSession.sparkContext.defaultParallelism)
+    samples = draw_samples(df, features, key, rows, trees, sample, seed).repartition(tasks, "tree_id")
     nodes = samples.groupBy("tree_id").applyInPandas(grow, NODE_SCHEMA).toPandas()
     nodes = nodes.sort_values(["tree_id", "node_id"], ignore_index=True)
     return Forest(features, min(sample, rows), nodes)
@@ -141,26 +149,27 @@ def fit_forest(
 
 def with_raw_score(df: DataFrame, forest: Forest, name: str = "raw_score") -> DataFrame:
     """Add ``-2 ** (-E[h] / c(sample))``: near -1 for isolated rows, towards 0 for the crowd."""
-    shared = df.sparkSession.sparkContext.broadcast(forest._arrays())
+    shared = df.sparkSession.sparkContext.broadcast(forest.flat())
     norm = mean_path_length(forest.sample_size)
+    levels = math.ceil(math.log2(max(forest.sample_size, 2)))
+
+    def depths(x: np.ndarray) -> np.ndarray:
+        a = shared.value
+        at = np.tile(a["roots"], (len(x), 1))
+        row = np.arange(len(x))[:, None] * x.shape[1]
+        values = x.ravel()
+        for _ in range(levels):
+            goes_left = values.take(row + a["feature"].take(at)) <= a["threshold"].take(at)
+            at = np.where(goes_left, a["left"].take(at), a["right"].take(at))
+        return a["path"].take(at).mean(axis=1)
 
     @pandas_udf("double")
     def raw_score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        a = shared.value
-        trees = np.arange(a["feature"].shape[0])
         for columns in batches:
             x = np.column_stack([c.to_numpy(dtype=float) for c in columns])
-            at = np.zeros((len(x), len(trees)), dtype=np.int64)
-            while True:
-                feature = a["feature"][trees, at]
-                inner = feature >= 0
-                if not inner.any():
-                    break
-                value = np.take_along_axis(x, np.where(inner, feature, 0), axis=1)
-                left = value <= a["threshold"][trees, at]
-                step = np.where(left, a["left_id"][trees, at], a["right_id"][trees, at])
-                at = np.where(inner, step, at)
-            depth = a["path"][trees, at].mean(axis=1)
+            # Small blocks keep the (rows, trees) matrices in the processor cache.
+            blocks = [depths(x[i : i + 256]) for i in range(0, len(x), 256)]
+            depth = np.concatenate(blocks) if blocks else np.zeros(0)
             ratio = depth / norm if norm else np.ones_like(depth)
             yield pd.Series(-np.exp2(-ratio))
 
