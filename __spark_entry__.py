@@ -19,6 +19,13 @@ from spotlift.plans.ingest import audit_rows
 from spotlift.sources.catalog import row_counts
 from spotlift.sources.retail_binding import BOUND_FILES, RetailTables
 
+try:
+    import spotlift.llm.queries as llm
+except ModuleNotFoundError as missing:  # the subpackage can be taken away
+    if not str(missing.name).startswith(("spotlift.llm", "corpus_pipeline")):
+        raise
+    llm = None
+
 SF_SMOKE = "/root/testdata/sf0.001"
 
 
@@ -116,6 +123,10 @@ def _incremental_lift(t: RetailTables) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return _reference_queries() | (llm.queries() if llm else {})
+
+
+def _reference_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         name: _query(build)
         for name, build in {
@@ -340,6 +351,10 @@ _FEATURE_NAMES = list(scoring.FEATURES)
 
 
 def oracle_sql() -> dict[str, str]:
+    return _reference_sql() | (llm.oracle_sql() if llm else {})
+
+
+def _reference_sql() -> dict[str, str]:
     return {
         "stg_spots": _sql([_SPOTS], "SELECT * FROM spots"),
         "stg_sessions": _sql([_SESSIONS], "SELECT * FROM visits"),
