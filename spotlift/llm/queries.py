@@ -7,21 +7,35 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spotlift.llm import minhash_dedup, substring_dedup
+from spotlift.llm import byte_bpe, minhash_dedup, quality, substring_dedup, toxicity
 from spotlift.llm.shared import table
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.scored(docs, toxicity.fitted(docs, table(spark, folder, "labels")))
+
+
 def op3_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, folder, "documents"))
 
 
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality.scored(docs, quality.fitted(docs, table(spark, folder, "labels")))
+
+
+def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return byte_bpe.round_trip(table(spark, folder, "documents"))
+
+
 def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     rows = substring_dedup.without_repeats(table(spark, folder, "documents"))
     return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op3_minhash_dedup, op8_substring_dedup]
+    named = [op2_toxicity, op3_minhash_dedup, op4_quality, op6_byte_bpe, op8_substring_dedup]
     return {f.__name__: f for f in named}
 
 
