@@ -116,6 +116,22 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(logits, -500, 500)))
 
 
+def _bags(texts: list[str], settings: Settings, most: int = 1 << 17) -> list[np.ndarray]:
+    """Distinct n-grams of every passage with their uses, taken up ``most`` characters at a time to keep the driver small."""
+    found, low, n_passages = [], 0, 0
+    while low < len(texts):
+        high, size = low, 0
+        while high < len(texts) and (high == low or size < most):
+            size += len(texts[high])
+            high += 1
+        slot, home, doc, counts = passages(texts[low:high], settings)
+        pairs, uses = np.unique(home.astype(np.int64) * settings.slots + slot, return_counts=True)
+        home, slot = pairs // settings.slots + n_passages, pairs % settings.slots
+        found.append((slot.astype(np.int32), home.astype(np.int32), uses.astype(np.float32), doc + low, counts))
+        low, n_passages = high, n_passages + len(doc)
+    return [np.concatenate(x) for x in zip(*found, strict=True)]
+
+
 def train(texts: list[str], marks: list[int], settings: Settings = Settings()) -> Model:
     """Without both labels every text gets the share of the only one, or one half without any."""
     wanted = np.array(marks, float)
@@ -123,10 +139,8 @@ def train(texts: list[str], marks: list[int], settings: Settings = Settings()) -
         share = float(np.clip(wanted.mean(), 0.01, 0.99)) if len(wanted) else 0.5
         return Model(np.zeros(settings.slots, np.float32), float(np.log(share / (1 - share))), settings)
     rng = np.random.default_rng(settings.seed)
-    slot, home, doc, counts = passages(texts, settings)
-    pairs, uses = np.unique(home.astype(np.int64) * settings.slots + slot, return_counts=True)
-    home, slot = pairs // settings.slots, (pairs % settings.slots).astype(np.int64)
-    in_docs = np.bincount(np.unique(doc[home] * settings.slots + slot) % settings.slots, minlength=settings.slots)
+    slot, home, uses, doc, counts = _bags(texts, settings)
+    in_docs = np.bincount(np.unique(doc[home].astype(np.int64) * settings.slots + slot) % settings.slots, minlength=settings.slots)
     common = in_docs >= min(settings.least_docs, len(texts))  # n-grams of few documents say nothing and stay out
     home, slot, uses = home[common[slot]], slot[common[slot]], uses[common[slot]]
     weights = (uses / counts[home]).astype(np.float32)
