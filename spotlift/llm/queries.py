@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spotlift.llm import byte_bpe, minhash_dedup, quality, substring_dedup, toxicity
+from spotlift.llm import byte_bpe, minhash_dedup, mixing, packed_tokens, pii, quality, substring_dedup, toxicity
 from spotlift.llm.shared import table
 
 
@@ -29,13 +29,31 @@ def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, folder, "documents"))
 
 
+def op7_packed_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    return packed_tokens.written_and_read(table(spark, folder, "documents"))
+
+
 def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     rows = substring_dedup.without_repeats(table(spark, folder, "documents"))
     return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.report(table(spark, folder, "documents"))
+
+
+def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.report(table(spark, folder, "documents"))
+
+
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op2_toxicity, op3_minhash_dedup, op4_quality, op6_byte_bpe, op8_substring_dedup]
+    named = [op2_toxicity, op3_minhash_dedup, op4_quality, op6_byte_bpe, op7_packed_tokens, op8_substring_dedup, op9_pii, op10_mixing, pipeline]
     return {f.__name__: f for f in named}
 
 
