@@ -7,10 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spotlift.llm import byte_bpe, minhash_dedup, mixing, packed_tokens, pii, quality, substring_dedup, toxicity
+from spotlift.llm import (
+    byte_bpe,
+    embedding_dedup,
+    minhash_dedup,
+    mixing,
+    packed_tokens,
+    pii,
+    quality,
+    substring_dedup,
+    topk_search,
+    toxicity,
+)
 from spotlift.llm.shared import table
 
 
+def op1_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
+
+
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return toxicity.scored(docs, toxicity.fitted(docs, table(spark, folder, "labels")))
@@ -25,6 +40,10 @@ def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.scored(docs, quality.fitted(docs, table(spark, folder, "labels")))
 
 
+def op5_topk_search(spark: SparkSession, folder: str) -> DataFrame:
+    return topk_search.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, folder, "documents"))
 
@@ -53,7 +72,19 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op2_toxicity, op3_minhash_dedup, op4_quality, op6_byte_bpe, op7_packed_tokens, op8_substring_dedup, op9_pii, op10_mixing, pipeline]
+    named = [
+        op1_embedding_dedup,
+        op2_toxicity,
+        op3_minhash_dedup,
+        op4_quality,
+        op5_topk_search,
+        op6_byte_bpe,
+        op7_packed_tokens,
+        op8_substring_dedup,
+        op9_pii,
+        op10_mixing,
+        pipeline,
+    ]
     return {f.__name__: f for f in named}
 
 
@@ -68,6 +99,21 @@ def _reach(edges: str) -> str:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_embedding_dedup": f"""WITH RECURSIVE vecs AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
+        usable AS (SELECT * FROM vecs WHERE vec_id IS NOT NULL AND label IS NOT NULL AND v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(v, lambda x: x <> 0)) > 0),
+        links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id
+            WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+        counts AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+        {_reach("links")}
+        SELECT e.vec_id, coalesce(n, 0) AS n_links, coalesce(component, e.vec_id) AS component_id, coalesce(component, e.vec_id) = e.vec_id AS kept
+        FROM embeddings e LEFT JOIN counts ON a = e.vec_id LEFT JOIN parts ON node = e.vec_id""",
+        "op5_topk_search": """WITH whole AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+            FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+        ranked AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM scored)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
         "op3_minhash_dedup": rf"""WITH RECURSIVE words AS (
             SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {_WORDS}) AS w
             FROM documents),
