@@ -26,7 +26,8 @@ from spotlift.llm.shared import written
 
 @dataclass(frozen=True)
 class RangeJoin:
-    """``pivots`` bounds what is sent to all tasks; labels of at most ``cell`` vectors are one cell; ``block`` rows bound a task."""
+    """``pivots`` bounds what is sent to all tasks; a label has a cell
+    for every ``cell`` vectors, as far as there are pivots; ``block`` rows bound a task."""
 
     cosine: float = 0.98
     pivots: int = 256
@@ -39,12 +40,14 @@ class RangeJoin:
         return float(np.sqrt(max(0.0, 2 - 2 * self.cosine))) + 1e-6
 
 
-def unit_rows(vectors: list, width: int | None = None) -> np.ndarray:
+def unit_rows(vectors: pa.Array | pa.ChunkedArray, width: int = 0) -> np.ndarray:
     """Vectors as unit rows of a matrix, shorter ones filled up with zeros."""
-    width = width or max((len(v) for v in vectors), default=0)
-    rows = np.zeros((len(vectors), width))
-    for i, v in enumerate(vectors):
-        rows[i, : len(v)] = v
+    vectors = vectors.combine_chunks() if isinstance(vectors, pa.ChunkedArray) else vectors
+    values = vectors.flatten().to_numpy(zero_copy_only=False)
+    sizes = vectors.value_lengths().to_numpy(zero_copy_only=False)
+    width = max(width, int(sizes.max(initial=0)))
+    rows = np.zeros((len(sizes), width))
+    rows[np.arange(width) < sizes[:, None]] = values
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
@@ -55,24 +58,24 @@ def _cells(pivots: np.ndarray, reach: float):
         for batch in batches:
             for low in range(0, batch.num_rows, 512):
                 part = batch.slice(low, 512)
-                vectors = [np.array(v) for v in part.column("embedding").to_pylist()]
-                width = max(pivots.shape[1], *(len(v) for v in vectors))
-                rows = unit_rows(vectors, width)
+                rows = unit_rows(part.column("embedding"), pivots.shape[1])
+                width = rows.shape[1]
                 known = np.zeros((len(pivots), width))
                 known[:, : pivots.shape[1]] = pivots
-                divided = np.array(part.column("divided").to_pylist(), bool)
                 own = np.zeros(len(rows), np.int64)
                 copies = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-                if divided.any() and len(known):
+                if len(known):
                     away = np.sqrt(np.maximum(0, 2 - 2 * rows @ known.T))
-                    own = np.where(divided, away.argmin(axis=1), 0)
+                    used = np.arange(len(known)) < np.maximum(part.column("cells").to_numpy(), 1)[:, None]
+                    away[~used] = np.inf  # a label has as many cells as its size asks for
+                    own = away.argmin(axis=1)
                     nearest = away[np.arange(len(rows)), own]
                     # A partner y at home in j has d(x,j) <= reach + d(y,j) <= reach + d(y,own) <= 2 reach + d(x,own).
                     near = away - nearest[:, None] <= 2 * reach
                     # In flat space a pair across the border of two cells lies within reach of the border itself.
                     apart = np.sqrt(np.maximum(1e-12, ((known[:, None, :] - known[None, :, :]) ** 2).sum(axis=2)))[own]
                     near &= away**2 - nearest[:, None] ** 2 <= 2 * reach * apart + 1e-6
-                    near &= (np.arange(len(known)) < own[:, None]) & divided[:, None]
+                    near &= used & (np.arange(len(known)) < own[:, None])
                     copies.append(np.nonzero(near))
                 row = np.concatenate([np.arange(len(rows)), *[c[0] for c in copies]])
                 cell = np.concatenate([own, *[c[1] for c in copies]])
@@ -98,31 +101,32 @@ def _join_cell(cosine: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in sorted_groups(batches, ["label", "cell", "bi", "bj"]):
             ids = group.column("vec_id").to_numpy()
-            order = np.argsort(ids, kind="stable")
-            ids = ids[order]
-            home = group.column("home").to_numpy(zero_copy_only=False)[order]
+            home = group.column("home").to_numpy()
+            order = np.lexsort((ids, ~home))  # those at home first
+            ids, home = ids[order], home[order]
             side = group.column("side").to_numpy()[order]
             weight = group.column("weight").to_numpy()[order]
-            listed = group.column("embedding").to_pylist()
-            rows = unit_rows([listed[i] for i in order])
+            rows = unit_rows(group.column("embedding"))[order]
+            inside = int(home.sum())
             links = np.zeros(len(ids), np.int64)
             forest = Forest(len(ids))
-            for low in range(0, len(ids), 512):
-                here = np.arange(low, min(low + 512, len(ids)))
-                alike = rows[here] @ rows.T >= cosine
-                alike &= home[here][:, None] | home  # copies meet only those at home
+            for low in range(0, inside, 512):
+                here = np.arange(low, min(low + 512, inside))
+                alike = rows[here] @ rows.T >= cosine  # copies meet only those at home
                 alike[np.arange(len(here)), here] = False
                 if side.any():
                     alike &= side[here][:, None] != side
                 links[here] += alike @ weight
+                links[inside:] += weight[here] @ alike[:, inside:]
                 for k in np.flatnonzero(alike.any(axis=1)):
                     i = low + int(k)
-                    others = np.flatnonzero(alike[k])
-                    for root in np.unique(forest.of[others]):
+                    for root in np.unique(forest.of[alike[k]]):
                         forest.join(i, int(root))
+            least = np.full(len(ids), np.iinfo(np.int64).max)
+            np.minimum.at(least, forest.of, ids)
             linked = np.flatnonzero(links)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[linked]), pa.array(links[linked]), pa.array(ids[forest.of[linked]])], ["vec_id", "links", "least"]
+                [pa.array(ids[linked]), pa.array(links[linked]), pa.array(least[forest.of[linked]])], ["vec_id", "links", "least"]
             )
 
     return run
@@ -145,12 +149,12 @@ def near_duplicates(vectors: DataFrame, config: RangeJoin = RangeJoin()) -> Data
         rows.where("usable").groupBy("label", "embedding").agg(F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("weight")),
         "vectors",
     )
-    spread = classes.groupBy("label").count().withColumn("divided", F.col("count") > config.cell).drop("count")
+    spread = classes.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / config.cell).alias("cells"))
     marked = classes.join(spread, "label")
-    chosen = marked.where("divided").orderBy(F.xxhash64("label", "vec_id"), "vec_id").select("embedding").limit(config.pivots).collect()
-    pivots = unit_rows([r["embedding"] for r in chosen]) if chosen else np.zeros((0, 0))
+    chosen = marked.where("cells > 1").orderBy(F.xxhash64("label", "vec_id"), "vec_id").select("embedding").limit(config.pivots).collect()
+    pivots = unit_rows(pa.array([r["embedding"] for r in chosen], pa.list_(pa.float64()))) if chosen else np.zeros((0, 0))
     pivots = _apart(pivots, config)
-    cells = marked.select("label", "vec_id", "weight", "embedding", "divided").mapInArrow(
+    cells = marked.select("label", "vec_id", "weight", "embedding", "cells").mapInArrow(
         _cells(pivots, config.reach), "label string, cell long, vec_id long, weight long, embedding array<double>, home boolean"
     )
     cells = written(cells, "cells")
