@@ -117,8 +117,12 @@ class Model:
 
 
 def _bags(texts: list[str], settings: Settings, most: int = 1 << 17) -> list[np.ndarray]:
-    """Distinct n-grams of every passage with their uses, taken up ``most`` characters at a time to keep the driver small."""
+    """Distinct n-grams of every passage with their shares of its sum, taken up ``most`` characters at a time to keep the driver small.
+
+    The last array counts the documents of every slot; n-grams of few documents say nothing and stay out.
+    """
     found, low, n_passages = [], 0, 0
+    in_docs = np.zeros(settings.slots, np.int32)
     while low < len(texts):
         high, size = low, 0
         while high < len(texts) and (high == low or size < most):
@@ -126,10 +130,16 @@ def _bags(texts: list[str], settings: Settings, most: int = 1 << 17) -> list[np.
             high += 1
         slot, home, doc, counts = passages(texts[low:high], settings)
         pairs, uses = np.unique(home.astype(np.int64) * settings.slots + slot, return_counts=True)
-        home, slot = pairs // settings.slots + n_passages, pairs % settings.slots
-        found.append((slot.astype(np.int32), home.astype(np.int32), uses.astype(np.float32), doc + low, counts))
+        home, slot = pairs // settings.slots, pairs % settings.slots
+        in_docs += np.bincount(np.unique(doc[home] * settings.slots + slot) % settings.slots, minlength=settings.slots).astype(np.int32)
+        weights = (uses / counts[home]).astype(np.float32)
+        found.append([slot.astype(np.int32), (home + n_passages).astype(np.int32), weights, (doc + low).astype(np.int32)])
         low, n_passages = high, n_passages + len(doc)
-    return [np.concatenate(x) for x in zip(*found, strict=True)]
+    common = in_docs >= min(settings.least_docs, len(texts))
+    for part in found:
+        stays = common[part[0]]
+        part[:3] = [x[stays] for x in part[:3]]
+    return [*(np.concatenate([part[i] for part in found]) for i in range(4)), common]
 
 
 def train(texts: list[str], marks: list[int], settings: Settings = Settings()) -> Model:
@@ -139,11 +149,7 @@ def train(texts: list[str], marks: list[int], settings: Settings = Settings()) -
         share = float(np.clip(wanted.mean(), 0.01, 0.99)) if len(wanted) else 0.5
         return Model(np.zeros(settings.slots, np.float32), float(np.log(share / (1 - share))), settings)
     rng = np.random.default_rng(settings.seed)
-    slot, home, uses, doc, counts = _bags(texts, settings)
-    in_docs = np.bincount(np.unique(doc[home].astype(np.int64) * settings.slots + slot) % settings.slots, minlength=settings.slots)
-    common = in_docs >= min(settings.least_docs, len(texts))  # n-grams of few documents say nothing and stay out
-    home, slot, uses = home[common[slot]], slot[common[slot]], uses[common[slot]]
-    weights = (uses / counts[home]).astype(np.float32)
+    slot, home, weights, doc, common = _bags(texts, settings)
     border = np.searchsorted(home, np.arange(len(doc) + 1))
     by_doc = np.searchsorted(doc, np.arange(len(texts) + 1))
     vectors = rng.uniform(-0.01, 0.01, (settings.slots, settings.width)).astype(np.float32)
@@ -153,7 +159,10 @@ def train(texts: list[str], marks: list[int], settings: Settings = Settings()) -
     passage_target = wanted[doc]
     for epoch in range(settings.epochs):
         # The worst passage speaks for its document; clean documents are clean in every passage.
-        logit = np.bincount(home, weights=weights * (vectors @ (linear[:, 1] - linear[:, 0]))[slot], minlength=len(doc))
+        single, logit = vectors @ (linear[:, 1] - linear[:, 0]), np.zeros(len(doc))
+        for low in range(0, len(home), 1 << 19):
+            some = slice(low, low + (1 << 19))
+            logit += np.bincount(home[some], weights=weights[some] * single[slot[some]], minlength=len(doc))
         worst = np.array([a + int(np.argmax(logit[a:b])) for a, b in zip(by_doc[:-1], by_doc[1:], strict=True)])
         some = rng.random(len(doc)) < 0.25
         chosen = np.flatnonzero((some & (passage_target == 0)) | np.isin(np.arange(len(doc)), worst)) if epoch > 1 else np.arange(len(doc))
