@@ -363,7 +363,7 @@ def _reference_sql() -> dict[str, str]:
         "ingest_audit": _sql(
             _RAW,
             _counted(
-                "SELECT '{table}' AS table_name, '{path}' AS file_path, CAST(count(*) AS INTEGER) AS row_count, "
+                "SELECT '{table}' AS table_name, '{path}' AS file_path, count(*) AS row_count, "
                 "'SUCCESS' AS status FROM {frame}"
             ),
         ),

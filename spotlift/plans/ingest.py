@@ -24,19 +24,19 @@ def audit_rows(tables: Mapping[str, DataFrame], paths: Mapping[str, str], status
     return row_counts(tables).select(
         "table_name",
         path_of[F.col("table_name")].alias("file_path"),
-        F.col("row_count").cast("int").alias("row_count"),
+        "row_count",
         F.lit(status).alias("status"),
     )
 
 
 def _log_failed(spark: SparkSession, failed: Sequence[tuple[str, str]]) -> None:
-    schema = "table_name string, file_path string, row_count int, status string"
+    schema = "table_name string, file_path string, row_count bigint, status string"
     rows = [(table, path, None, "FAILED") for table, path in failed]
     append_table(with_ingestion_stamp(spark.createDataFrame(rows, schema)), AUDIT_TABLE)
 
 
 def ingest(spark: SparkSession, root: str, sources: Sequence[RawSource] = RAW_SOURCES) -> dict[str, DataFrame]:
-    """Load every source into its raw table and log the loads.
+    """Load every source into its raw table and log each load.
 
     All sources are looked up before the first table is replaced; a missing one is logged
     as FAILED and nothing is loaded.
@@ -56,5 +56,5 @@ def ingest(spark: SparkSession, root: str, sources: Sequence[RawSource] = RAW_SO
         except Exception:
             _log_failed(spark, [(s.table, paths[s.table])])
             raise
-    append_table(with_ingestion_stamp(audit_rows(tables, paths)), AUDIT_TABLE)
+        append_table(with_ingestion_stamp(audit_rows({s.table: tables[s.table]}, paths)), AUDIT_TABLE)
     return tables

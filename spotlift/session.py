@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 #: Settings the jobs rely on. Sizes that depend on the cluster stay with the cluster.
@@ -29,16 +27,11 @@ def build_session(app_name: str = "spotlift", master: str | None = None, **conf:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder named in ``spark.checkpoint.dir``; invent one only for local runs."""
+    """Use the folder named in ``spark.checkpoint.dir``; where none is set, one beside the warehouse, which is shared as well."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="spotlift-checkpoint-")
-    context.setCheckpointDir(folder)
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_spotlift_checkpoints")
 
 
 def materialise(df: DataFrame) -> DataFrame:

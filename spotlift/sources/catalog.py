@@ -17,9 +17,16 @@ def create_databases(spark: SparkSession, names: Iterable[str] = DATABASES) -> N
 
 
 def replace_table(df: DataFrame, name: str) -> DataFrame:
-    """Create or replace a managed Parquet table and return it as read back."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
-    return df.sparkSession.table(name)
+    """Create or replace a managed Parquet table and return it as read back.
+
+    The new rows are written beside the old table, which goes only after that has worked.
+    """
+    spark = df.sparkSession
+    spark.sql(f"DROP TABLE IF EXISTS {name}__next")
+    df.write.format("parquet").saveAsTable(f"{name}__next")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {name}__next RENAME TO {name}")
+    return spark.table(name)
 
 
 def append_table(df: DataFrame, name: str) -> None:

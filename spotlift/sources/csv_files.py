@@ -30,13 +30,14 @@ def read_typed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Write a folder of CSV parts with header; nulls are empty.
+    """Write a folder of CSV parts with header; nulls are empty, blanks around a value stay.
 
     Timestamps are written as ``2026-04-20 20:30:00``, with a fraction only if there is one.
     """
     stamps = {c: F.col(c).cast("string") for c, t in df.dtypes if t.startswith("timestamp")}
     out = df.withColumns(stamps) if stamps else df
-    out.write.mode("overwrite").options(**_DIALECT).csv(path)
+    blanks = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    out.write.mode("overwrite").options(**_DIALECT, **blanks).csv(path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -298,3 +298,20 @@ def test_catalog_lookup(spark, run):
     assert not catalog.table_exists(spark, "raw.stg_sessions")
     assert catalog.first_available(spark, ["marts.nothing", "dq.dq_results"]) == "dq.dq_results"
     assert "staging.stg_sessions" in catalog.list_tables(spark)
+
+
+def test_a_failed_load_leaves_the_old_table_and_a_log_of_each_source(spark, tmp_path):
+    ingest(spark, write_raw_files(tmp_path / "good"))
+    before = spark.table("raw.campaign_master").drop("ingestion_ts").collect()
+    logged = spark.table(AUDIT_TABLE).count()
+    bad = "campaign_id,campaign_name,brand,start_date,end_date,budget\nCAMP001,Sale,BrandA,2026-04-15,2026-04-30,much\n"
+    with pytest.raises(Exception, match="much"):
+        ingest(spark, write_raw_files(tmp_path / "bad", **{"campaign_master/campaign_master.csv": bad}))
+    assert spark.table("raw.campaign_master").drop("ingestion_ts").collect() == before
+    assert spark.table(AUDIT_TABLE).count() > logged
+    assert spark.table(AUDIT_TABLE).schema["row_count"].dataType.simpleString() == "bigint"
+
+
+def test_export_keeps_blanks(spark, tmp_path):
+    write_csv(spark.createDataFrame([("  padded ", 1)], "a string, b int"), str(tmp_path / "out"))
+    assert "  padded ,1" in "".join(p.read_text() for p in (tmp_path / "out").glob("part-*"))
