@@ -197,25 +197,30 @@ def train(texts: list[str], marks: list[int], settings: Settings = Settings()) -
     return Model(np.where(common, vectors @ difference, 0).astype(np.float32), float(offset[1] - offset[0]), settings)
 
 
-def _scorer(model: Model):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index("text")
-            texts = batch.column(at)
-            low = 0
-            while low < batch.num_rows:
-                size, high, part = 0, low, []
-                while high < batch.num_rows and (not part or size < 1 << 18):
-                    part.append(texts[high].as_py() or "")
-                    size += len(part[-1])
-                    high += 1
-                kept = batch.slice(low, len(part))
-                columns = [kept.column(i) for i in range(batch.num_columns) if i != at]
-                names = [n for i, n in enumerate(batch.schema.names) if i != at]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(model.score(part))], [*names, "score"])
-                low = high
-
-    return run
+def _scores(model: Model, texts: pa.Array, most: int = 1 << 18) -> np.ndarray:
+    """Scores of a column of texts, ``most`` characters or one longer text at a time."""
+    found, low = [], 0
+    while low < len(texts):
+        size, part = 0, []
+        while low < len(texts) and (not part or size < most):
+            part.append(texts[low].as_py() or "")
+            size += len(part[-1])
+            low += 1
+        found.append(model.score(part))
+    return np.concatenate(found) if found else np.zeros(0)
+
+
+def _rating(model: Model):
+    """The score of a text column as a vectorised function."""
+
+    @F.arrow_udf("double")
+    def rating(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield pa.array(_scores(model, texts), pa.float64())
+            del texts
+            pa.default_memory_pool().release_unused()  # else an idle worker keeps its largest batch
+
+    return rating
 
 
 def fitted(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:
@@ -227,8 +232,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every row; a null or empty text gets the score of an empty bag."""
     settings = model.settings
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    rows = texts.mapInArrow(_scorer(model), "doc_id long, score double")
-    return rows.select(
+    return texts.select("doc_id", _rating(model)("text").alias("score")).select(
         "doc_id",
         F.coalesce(fold("doc_id", settings.folds) == settings.held_out, F.lit(False)).alias("held_out"),
         "score",
@@ -237,12 +241,10 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def clean(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` without the rows that the model calls toxic; all columns stay, whatever their names."""
-    names = docs.columns
-    own = [F.col(f"`{n.replace('`', '``')}`").alias(f"c{i}") for i, n in enumerate(names)]
-    text = next(i for i, n in enumerate(names) if n.lower() == "text")
-    numbered = docs.select(*own)
-    flat = numbered.select(F.struct("*").alias("row"), F.col(f"c{text}").cast("string").alias("text"))
-    schema = f"row {flat.schema['row'].dataType.simpleString()}, score double"
-    rated = flat.mapInArrow(_scorer(model), schema).where(F.col("score") < model.settings.threshold)
-    return rated.select(*[F.col(f"row.c{i}").alias(n) for i, n in enumerate(names)])
+    """``docs`` without the rows that the model calls toxic; all columns stay, whatever their names.
+
+    Only texts go to Python and only scores come back; rows wait in the JVM, where their queue can spill.
+    """
+    text = next(n for n in docs.columns if n.lower() == "text")
+    column = F.col(f"`{text.replace('`', '``')}`").cast("string")
+    return docs.where(_rating(model)(column) < model.settings.threshold)
