@@ -267,6 +267,94 @@ flagged AS (
                 WHEN incremental_lift_pct < 50 THEN 'Normal Positive Lift'
                 ELSE 'High Positive Lift' END AS response_segment
     FROM features)"""
+# The forest: draws and splits from the same MD5 digests as the job, levels unrolled, rows walked through the trees in SQL.
+_COLUMNS = list(scoring.FEATURES)
+_DEPTH = 8
+
+
+def _digits(text: str, count: int = 13) -> str:
+    return f"CAST('0x' || substr(md5({text}), 1, {count}) AS BIGINT)"
+
+
+def _mean_path(n: str) -> str:
+    return (
+        f"CASE WHEN {n} <= 1 THEN 0.0::DOUBLE WHEN {n} = 2 THEN 1.0::DOUBLE "
+        f"ELSE 2 * (ln({n} - 1) + 0.5772156649015329::DOUBLE) - 2 * ({n} - 1)::DOUBLE / {n} END"
+    )
+
+
+def _level(d: int) -> str:
+    """``level<d>``, the sampled rows that reach a depth, and ``split<d>``, what becomes of their nodes."""
+    rows = "SELECT t, 1 AS place, x FROM drawn"
+    if d:
+        goes = f"2 * s.place + CAST(l.x[s.feature] > s.threshold AS INTEGER)"
+        rows = f"SELECT l.t, {goes} AS place, l.x FROM level{d - 1} l JOIN split{d - 1} s ON s.t = l.t AND s.place = l.place WHERE s.feature > 0"
+    lows, highs = (", ".join(f"{f}(x[{i + 1}])" for i in range(len(_COLUMNS))) for f in ("min", "max"))
+    name = f"'{scoring.SEED}:' || t || ':' || place"
+    differing = f"list_filter(range(1, {len(_COLUMNS) + 1}), lambda i: highs[i] > lows[i])"
+    open_node = f"len(differing) > 0 AND {d} < (SELECT ceil(log2(greatest(least({scoring.SAMPLE}, count(*)), 2))) FROM named)"
+    return f"""
+level{d} AS MATERIALIZED ({rows}),
+split{d} AS MATERIALIZED (
+    SELECT t, place, n, feature, {d} AS depth,
+           CASE WHEN lows[feature] + (highs[feature] - lows[feature]) * u >= highs[feature] THEN lows[feature]
+                ELSE lows[feature] + (highs[feature] - lows[feature]) * u END AS threshold
+    FROM (SELECT *, {_digits(f"{name} || ':threshold'")} / 4503599627370496.0::DOUBLE AS u,
+                 CASE WHEN {open_node} THEN differing[1 + {_digits(f"{name} || ':feature'")} % len(differing)] ELSE 0 END AS feature
+          FROM (SELECT *, {differing} AS differing
+                FROM (SELECT t, place, count(*) AS n, [{lows}] AS lows, [{highs}] AS highs FROM level{d} GROUP BY t, place))))"""
+
+
+def _walk(d: int) -> str:
+    return (
+        f"walk{d + 1} AS MATERIALIZED (SELECT w.name, w.t, w.x, CASE WHEN s.feature > 0 "
+        f"THEN 2 * w.place + CAST(w.x[s.feature] > s.threshold AS INTEGER) ELSE w.place END AS place "
+        f"FROM walk{d} w JOIN nodes s ON s.t = w.t AND s.place = w.place)"
+    )
+
+
+_SCORED = [
+    f"""
+named AS MATERIALIZED (
+    SELECT *, [{", ".join(f"{c}::DOUBLE" for c in _COLUMNS)}] AS x,
+           md5(concat_ws('|', {", ".join(scoring.KEY)}, {", ".join(f"{c}::DOUBLE::DECIMAL(38, 6)" for c in _COLUMNS)},
+                         row_number() OVER (PARTITION BY {", ".join([*scoring.KEY, *_COLUMNS])}) - 1)) AS name
+    FROM features)""",
+    f"""
+trees AS (
+    SELECT t, 1 + {_digits(f"'{scoring.SEED}:' || t || ':slope'", 7)} AS slope, {_digits(f"'{scoring.SEED}:' || t || ':shift'", 7)} AS shift
+    FROM range({scoring.TREES}) r(t))""",
+    f"""
+drawn AS MATERIALIZED (
+    SELECT t, x FROM named, trees
+    QUALIFY row_number() OVER (
+        PARTITION BY t
+        ORDER BY (CAST('0x' || substr(name, 1, 13) AS BIGINT) % 2147483647 * slope + shift) % 2147483647, name) <= {scoring.SAMPLE})""",
+    *[_level(d) for d in range(_DEPTH + 1)],
+    "nodes AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT * FROM split{d}" for d in range(_DEPTH + 1)) + ")",
+    "walk0 AS (SELECT name, t, x, 1 AS place FROM named, trees)",
+    *[_walk(d) for d in range(_DEPTH)],
+    f"""
+raw AS MATERIALIZED (
+    SELECT name, round(-pow(2, -avg(depth + {_mean_path("n")}) /
+           (SELECT {_mean_path(f"least({scoring.SAMPLE}, count(*))")} FROM named)), 12) AS raw_score
+    FROM walk{_DEPTH} w JOIN nodes s ON s.t = w.t AND s.place = w.place GROUP BY name)""",
+    f"""
+rated AS (
+    SELECT {", ".join(scoring.KEY)}, {", ".join(_COLUMNS)},
+           round(raw_score - (SELECT quantile_cont(raw_score, {scoring.CONTAMINATION}) FROM raw), 10) + 0.0::DOUBLE AS anomaly_score
+    FROM named n JOIN raw r ON r.name = n.name)""",
+    """
+scored AS (
+    SELECT *, CAST(anomaly_score < 0 AS INTEGER) AS is_abnormal_response,
+           CASE WHEN incremental_lift_pct > 0 AND anomaly_score < 0 THEN 'Abnormal Positive Spike'
+                WHEN incremental_lift_pct < 0 AND anomaly_score < 0 THEN 'Abnormal Negative Drop'
+                WHEN incremental_lift_pct = 0 THEN 'Insufficient Baseline'
+                WHEN incremental_lift_pct < 0 THEN 'Weak Response'
+                WHEN incremental_lift_pct < 50 THEN 'Normal Positive Lift'
+                ELSE 'High Positive Lift' END AS response_segment
+    FROM rated)""",
+]
 _RATES = """
 rates AS (
     SELECT attributed_sessions / nullif(post_spot_sessions, 0) AS exposed,
@@ -278,6 +366,7 @@ _TO_BEST = [_SPOTS, _SESSIONS, _PAIRS, _BEST]
 _TO_FACT = [*_RAW, _PAIRS, _BEST, _FACT]
 _TO_MART = [*_TO_FACT, _AROUND, _MART]
 _TO_FLAGGED = [*_TO_MART, _FEATURES, _FLAGGED]
+_TO_SCORED = [*_TO_MART, _FEATURES, *_SCORED]
 
 
 def _sql(parts: list[str], select: str) -> str:
@@ -494,4 +583,21 @@ def _reference_sql() -> dict[str, str]:
         "segment_counts": _sql(
             _TO_FLAGGED, "SELECT response_segment, campaign_id, count(*) AS spots FROM flagged GROUP BY ALL"
         ),
+        "anomaly_scores": _sql(_TO_SCORED, f"SELECT {', '.join(scoring.SCORE_COLUMNS)} FROM scored"),
+        "score_distribution": _sql(
+            _TO_SCORED,
+            "SELECT CAST(floor(anomaly_score / 0.05::DOUBLE) AS BIGINT) AS bin, count(*) AS spots, "
+            "round(CAST(floor(anomaly_score / 0.05::DOUBLE) AS BIGINT) * 0.05::DOUBLE, 6) AS bin_start FROM scored GROUP BY ALL",
+        ),
+        "response_ranking": _sql(
+            _TO_SCORED,
+            "SELECT *, rank() OVER (ORDER BY avg_anomaly_score DESC, campaign_id) AS response_rank FROM "
+            "(SELECT campaign_id, round(avg(anomaly_score), 6) AS avg_anomaly_score FROM scored GROUP BY campaign_id)",
+        ),
+        "average_response_score": _sql(_TO_SCORED, "SELECT round(avg(anomaly_score), 6) AS avg_anomaly_score FROM scored"),
+        "chart_anomaly": _sql(
+            _TO_SCORED,
+            "SELECT spot_id, campaign_id, incremental_lift_pct, anomaly_score, is_abnormal_response, response_segment "
+            "FROM scored ORDER BY spot_id, campaign_id",
+        ),
     }

@@ -1,13 +1,15 @@
 """Isolation forest (Liu, Ting, Zhou: "Isolation Forest", ICDM 2008) as Spark jobs.
 
 Sampling, tree building and scoring are distributed; only the finished trees, at most
-``2 * sample - 1`` nodes each, pass through the driver. Rows are picked by hash, so the same
-rows give the same forest however they are partitioned. Splits depend on the order and the
-relative position of values only, so scaling the features first would not change the result.
+``2 * sample - 1`` nodes each, pass through the driver. Draws and splits come from MD5 digests of
+row contents and node numbers, so the same rows give the same forest at any size and partitioning,
+and SQL can recompute it. Splits depend on the order and the relative position of values only, so
+scaling the features first would not change the result.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import sys
 from collections.abc import Iterator, Sequence
@@ -27,7 +29,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 NODE_SCHEMA = (
     "tree_id int, node_id int, feature int, threshold double, left_id int, right_id int, size int, path double"
 )
-_HASH_RANGE = 1 << 40
+#: Draws are numbers below this prime; products of two stay below 2^63.
+_PRIME = (1 << 31) - 1
+#: Copies of one row that are listed together.
+_COPIES = 100_000
 
 
 def mean_path_length(n: int) -> float:
@@ -39,28 +44,38 @@ def mean_path_length(n: int) -> float:
     return 2.0 * (math.log(n - 1) + np.euler_gamma) - 2.0 * (n - 1) / n
 
 
-def _grow(x: np.ndarray, rng: np.random.Generator) -> list[tuple]:
-    """Nodes of one tree: (node, feature or -1, threshold, left, right, size, path length)."""
+def _digits(text: str, count: int = 13) -> int:
+    """The first hexadecimal digits of a text's MD5 digest as a number; 13 of them are exact in a double."""
+    return int(hashlib.md5(text.encode()).hexdigest()[:count], 16)
+
+
+def _grow(x: np.ndarray, seed: int, tree_id: int) -> list[tuple]:
+    """Nodes of one tree: (node, feature or -1, threshold, left, right, size, path length).
+
+    The root has place 1 and the children of place ``i`` have ``2 * i`` and ``2 * i + 1``; seed, tree and place decide a
+    node's feature, among those that differ, and the threshold between that feature's ends.
+    """
     limit = math.ceil(math.log2(max(len(x), 2)))
     nodes: list[tuple] = []
-    todo = [(0, np.arange(len(x)), 0)]
+    todo = [(0, 1, np.arange(len(x)), 0)]
     next_id = 1
     while todo:
-        node, rows, depth = todo.pop()
+        node, place, rows, depth = todo.pop()
         part = x[rows]
         low, high = part.min(axis=0), part.max(axis=0)
         splittable = np.flatnonzero(high > low)
         if depth >= limit or len(splittable) == 0:
             nodes.append((node, -1, 0.0, -1, -1, len(rows), depth + mean_path_length(len(rows))))
             continue
-        feature = int(rng.choice(splittable))
-        threshold = float(rng.uniform(low[feature], high[feature]))
+        name = f"{seed}:{tree_id}:{place}"
+        feature = int(splittable[_digits(f"{name}:feature") % len(splittable)])
+        threshold = float(low[feature] + (high[feature] - low[feature]) * (_digits(f"{name}:threshold") / 2.0**52))
         if threshold >= high[feature]:  # rounding may reach the upper end; keep both sides filled
             threshold = float(low[feature])
         goes_left = part[:, feature] <= threshold
         nodes.append((node, feature, threshold, next_id, next_id + 1, len(rows), float(depth)))
-        todo.append((next_id, rows[goes_left], depth + 1))
-        todo.append((next_id + 1, rows[~goes_left], depth + 1))
+        todo.append((next_id, 2 * place, rows[goes_left], depth + 1))
+        todo.append((next_id + 1, 2 * place + 1, rows[~goes_left], depth + 1))
         next_id += 2
     return nodes
 
@@ -94,30 +109,50 @@ class Forest:
         }
 
 
+def _named_rows(df: DataFrame, features: Sequence[str], key: Sequence[str]) -> DataFrame:
+    """``(name, *features)``: every row with an MD5 name of its key, its features and its number among equal rows."""
+    own = [F.col(c).cast("double").alias(f"f{i}") for i, c in enumerate(features)]
+    own += [F.col(c).cast("string").alias(f"k{i}") for i, c in enumerate(key)]
+    counted = df.select(*own).groupBy(*[f"f{i}" for i in range(len(features))], *[f"k{i}" for i in range(len(key))])
+    # A row's copies are counted on the map side and listed a stretch at a time, so however many they are no array is long.
+    copies = (
+        counted.agg(F.count("*").alias("n"))
+        .withColumn("stretch", F.expr(f"explode(sequence(0L, (n - 1) div {_COPIES}))"))
+        .withColumn("copy", F.expr(f"explode(sequence(stretch * {_COPIES}, least(n, (stretch + 1) * {_COPIES}) - 1))"))
+    )
+    keys = [F.coalesce(f"k{i}", F.lit("")) for i in range(len(key))]
+    values = [F.coalesce(F.expr(f"cast(try_cast(f{i} AS decimal(38, 6)) AS string)"), F.lit("")) for i in range(len(features))]
+    name = F.md5(F.concat_ws("|", *keys, *values, F.col("copy").cast("string")).cast("binary"))
+    return copies.select(name.alias("name"), *[F.col(f"f{i}").alias(c) for i, c in enumerate(features)])
+
+
 def draw_samples(
-    df: DataFrame, features: Sequence[str], key: Sequence[str], rows: int, trees: int, sample: int, seed: int
+    df: DataFrame, features: Sequence[str], key: Sequence[str], trees: int, sample: int, seed: int, share: float = 1.0
 ) -> DataFrame:
-    """``(tree_id, rank, *features)``: ``min(sample, rows)`` distinct rows for every tree.
+    """``(tree_id, rank, *features)``: for every tree the ``sample`` rows with the lowest draws, all rows if they are fewer.
 
-    A large table is first thinned to a pool a few times the size of all samples together:
-    one hash per row. Within the pool each tree takes the rows with the lowest hash of its
-    own; a hash threshold leaves about twice the rows needed before they are ranked.
+    A row's draw for a tree is an affine function, of that tree's own, of the number in the row's name. Draws
+    above ``share`` of their range are left out before the ranking. That changes nothing as long as ``sample`` of a tree's
+    draws remain; a tree that is short of rows shows that ``share`` was too small.
     """
-    wanted = min(sample, rows)
-    pool = 4 * trees * sample
-    picked = df.select(*[F.col(c).cast("double").alias(c) for c in features], *[F.col(c) for c in key if c not in features])
-    if rows > pool:
-        picked = picked.where(F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(_HASH_RANGE)) < int(_HASH_RANGE * (pool / rows)))
-    per_tree = picked.withColumn("tree_id", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn(
-        "pick", F.pmod(F.xxhash64("tree_id", F.lit(seed + 1), *key), F.lit(_HASH_RANGE))
+    slope = [1 + _digits(f"{seed}:{t}:slope", 7) for t in range(trees)]
+    shift = [_digits(f"{seed}:{t}:shift", 7) for t in range(trees)]
+    number = F.expr(f"cast(conv(substring(name, 1, 13), 16, 10) AS bigint) % {_PRIME}L")
+    draws = F.expr(
+        f"inline(filter(transform(slopes, (a, t) -> struct(t AS tree_id, (number * a + shifts[t]) % {_PRIME}L AS pick)), "
+        f"d -> d.pick < {math.ceil(_PRIME * min(share, 1.0))}L))"
     )
-    share = 2 * sample / min(rows, pool)
-    if share < 0.5:
-        per_tree = per_tree.where(F.col("pick") < int(_HASH_RANGE * share))
-    order = Window.partitionBy("tree_id").orderBy("pick", *key, *features)
+    listed = _named_rows(df, features, key).select(
+        "*",
+        number.alias("number"),
+        F.array(*[F.lit(a).cast("long") for a in slope]).alias("slopes"),
+        F.array(*[F.lit(c).cast("long") for c in shift]).alias("shifts"),
+    )
+    order = Window.partitionBy("tree_id").orderBy("pick", "name")
     return (
-        per_tree.withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= wanted)
+        listed.select("name", *features, draws)
+        .withColumn("rank", F.row_number().over(order))
+        .where(F.col("rank") <= sample)
         .select("tree_id", "rank", *features)
     )
 
@@ -125,7 +160,7 @@ def draw_samples(
 def fit_forest(
     df: DataFrame, features: Sequence[str], key: Sequence[str], trees: int = 100, sample: int = 256, seed: int = 42
 ) -> Forest:
-    """Grow ``trees`` trees, one per group of at most ``sample`` rows. ``df`` is read twice."""
+    """Grow ``trees`` trees, each from ``min(sample, rows)`` rows. ``df`` is read twice, and again if a draw fell short."""
     features = tuple(features)
     rows = df.count()
     if rows == 0:
@@ -134,17 +169,24 @@ def fit_forest(
     def grow(group: pd.DataFrame) -> pd.DataFrame:
         tree_id = int(group["tree_id"].iloc[0])
         x = group.sort_values("rank")[list(features)].to_numpy(dtype=float)
-        nodes = _grow(x, np.random.default_rng([seed, tree_id]))
-        out = pd.DataFrame(nodes, columns=["node_id", "feature", "threshold", "left_id", "right_id", "size", "path"])
+        out = pd.DataFrame(
+            _grow(x, seed, tree_id), columns=["node_id", "feature", "threshold", "left_id", "right_id", "size", "path"]
+        )
         out.insert(0, "tree_id", tree_id)
         return out
 
+    wanted = min(sample, rows)
     # The samples are few and small; left alone, adaptive coalescing would put them in one task.
     tasks = min(trees, 2 * df.sparkSession.sparkContext.defaultParallelism)
-    samples = draw_samples(df, features, key, rows, trees, sample, seed).repartition(tasks, "tree_id")
-    nodes = samples.groupBy("tree_id").applyInPandas(grow, NODE_SCHEMA).toPandas()
+    share = 4 * wanted / rows
+    while True:
+        samples = draw_samples(df, features, key, trees, sample, seed, share).repartition(tasks, "tree_id")
+        nodes = samples.groupBy("tree_id").applyInPandas(grow, NODE_SCHEMA).toPandas()
+        if share >= 1 or ((nodes["node_id"] == 0) & (nodes["size"] == wanted)).sum() == trees:
+            break
+        share *= 16
     nodes = nodes.sort_values(["tree_id", "node_id"], ignore_index=True)
-    return Forest(features, min(sample, rows), nodes)
+    return Forest(features, wanted, nodes)
 
 
 def with_raw_score(df: DataFrame, forest: Forest, name: str = "raw_score") -> DataFrame:

@@ -36,6 +36,10 @@ def with_segment(scored: DataFrame) -> DataFrame:
     return scored.withColumn("response_segment", response_segment("incremental_lift_pct", "is_abnormal_response"))
 
 
+def _raw_scored(features: DataFrame, forest: Forest) -> DataFrame:
+    return with_raw_score(features, forest).withColumn("raw_score", F.round("raw_score", 12))
+
+
 @dataclass(frozen=True)
 class ResponseModel:
     """Fitted forest, the scaling of its training data and the score that splits off abnormal spots."""
@@ -45,14 +49,15 @@ class ResponseModel:
     offset: float
 
     def apply(self, raw_scored: DataFrame) -> DataFrame:
-        score = F.col("raw_score") - F.lit(self.offset)
+        # Rounded, and then free of a negative zero, so that the order of additions cannot move a spot across the border.
+        score = F.round(F.col("raw_score") - F.lit(self.offset), 10) + F.lit(0.0)
         flagged = raw_scored.withColumn("anomaly_score", score).withColumn(
             "is_abnormal_response", F.when(F.col("anomaly_score") < 0, 1).otherwise(0)
         )
         return with_segment(flagged).select(*SCORE_COLUMNS)
 
     def score(self, features: DataFrame) -> DataFrame:
-        return self.apply(with_raw_score(features, self.forest))
+        return self.apply(_raw_scored(features, self.forest))
 
     def save(self, spark: SparkSession, folder: str) -> None:
         self.forest.to_spark(spark).write.mode("overwrite").parquet(f"{folder}/trees")
@@ -88,7 +93,7 @@ def score_responses(
     if features.isEmpty():
         raise ValueError("No campaign effectiveness data to score.")
     forest = fit_forest(features, FEATURES, KEY, trees, sample, seed)
-    raw = materialise(with_raw_score(features, forest))
+    raw = materialise(_raw_scored(features, forest))
     offset = exact_quantile(raw, "raw_score", contamination)
     model = ResponseModel(forest, Scaler.fit(features, FEATURES), offset)
     return model, model.apply(raw)

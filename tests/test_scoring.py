@@ -99,14 +99,32 @@ def test_trees_hold_their_sample_and_depth_limit(scored):
     assert (leaves["size"] >= 1).all()
 
 
-def test_every_tree_draws_distinct_rows_from_a_thinned_table(spark):
+def test_every_tree_draws_distinct_rows(spark):
     df = spark.range(20_000).selectExpr("id", "cast(id AS double) AS x")
-    samples = draw_samples(df, ["x"], ["id"], 20_000, trees=8, sample=64, seed=1)
+    samples = draw_samples(df, ["x"], ["id"], trees=8, sample=64, seed=1, share=0.05)
     per_tree = samples.groupBy("tree_id").agg({"x": "count"}).collect()
     assert sorted(r[1] for r in per_tree) == [64] * 8
     assert samples.select("tree_id", "x").distinct().count() == 8 * 64
 
 
+def test_the_share_does_not_change_a_full_draw(spark):
+    df = spark.range(3000).selectExpr("id", "cast(id AS double) AS x")
+    drawn = [
+        sorted(draw_samples(df, ["x"], ["id"], trees=5, sample=32, seed=3, share=share).collect()) for share in (1.0, 0.2)
+    ]
+    assert drawn[0] == drawn[1] and len(drawn[0]) == 5 * 32
+
+
+@pytest.mark.parametrize("by_key", ["id % 50", "0"])
+def test_repeated_keys_and_equal_rows_leave_no_tree_short(spark, by_key):
+    df = spark.range(20_000).selectExpr(f"{by_key} AS id", "cast(id % 3 AS double) AS x", "cast(id % 7 = 0 AS double) AS y")
+    forest = fit_forest(df, ["x", "y"], ["id"])
+    roots = forest.nodes[forest.nodes.node_id == 0]
+    assert len(roots) == 100 and (roots["size"] == 256).all()
+    x = forest.nodes[(forest.nodes.feature == 0)]
+    assert len(x), "copies of a row stand for themselves, so samples hold different rows"
+
+
 def test_mean_path_length():
     assert [mean_path_length(n) for n in (0, 1, 2)] == [0.0, 0.0, 1.0]
     assert mean_path_length(256) == pytest.approx(10.2448, abs=1e-4)
@@ -140,7 +158,7 @@ def test_python_functions_need_no_installed_package(tmp_path):
 
     from spotlift.operators import isolation_forest
 
-    code = "import pickle, sys, numpy as np; f = pickle.load(sys.stdin.buffer); print(len(f(np.eye(2), np.random.default_rng(1))))"
+    code = "import pickle, sys, numpy as np; f = pickle.load(sys.stdin.buffer); print(len(f(np.eye(2), 1, 1)))"
     result = subprocess.run(
         [sys.executable, "-I", "-c", code], input=cloudpickle.dumps(isolation_forest._grow), capture_output=True, cwd=tmp_path
     )
