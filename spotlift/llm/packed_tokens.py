@@ -64,9 +64,14 @@ class PieceEncoder:
 
     Texts are cut between a byte that ends no white space and an ASCII blank, tab or line break; no match of the byte-level split
     pattern crosses such a place, so a text's ids are those of its pieces in turn. Pieces are told apart by 64-bit hashes.
+    For the same reason new pieces are encoded together, as texts of about ``together`` bytes; the bytes that every id stands
+    for tell where a piece's ids end. Pieces at the border of a text need not begin or end at such a place and are encoded alone.
     """
 
-    def __init__(self, path: str, most: int = 1 << 20):
+    #: Bytes of texts that are looked up at a time.
+    step = 4 * STEP
+
+    def __init__(self, path: str, most: int = 1 << 20, together: int = 1 << 15):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -74,12 +79,16 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.most = most
+        self.most, self.together = most, together
+        words = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.width = np.zeros(1 + max(words.values(), default=0), np.int64)  # a byte is one character in the vocabulary
+        for word, number in words.items():
+            self.width[number] = len(word)
         rng = np.random.default_rng(77)
         self.values = rng.integers(1, 2**63, 256, dtype=np.uint64) | U(1)
         base = 0x9E3779B97F4A7C15
-        self.power = np.cumprod(np.concatenate([[U(1)], np.full(2 * STEP, U(base))]), dtype=U)
-        self.inverse = np.cumprod(np.concatenate([[U(1)], np.full(2 * STEP, U(pow(base, -1, 2**64)))]), dtype=U)
+        self.power = np.cumprod(np.concatenate([[U(1)], np.full(2 * self.step, U(base))]), dtype=U)
+        self.inverse = np.cumprod(np.concatenate([[U(1)], np.full(2 * self.step, U(pow(base, -1, 2**64)))]), dtype=U)
         self.blank = np.zeros(256, bool)
         self.blank[[0x20, 0x09, 0x0A, 0x0D]] = True
         self.solid = np.zeros(256, bool)
@@ -91,8 +100,8 @@ class PieceEncoder:
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
         self.begin, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
-    def _cuts(self, part: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        """Where pieces begin: at every row, and at safe places inside."""
+    def _ends(self, part: np.ndarray) -> np.ndarray:
+        """Where bytes end no white space."""
         ends = self.solid[part]
         tail = part >= 0x80
         if tail.any():
@@ -101,30 +110,55 @@ class PieceEncoder:
             for first, second in ((0xE1, 0x9A), (0xE2, 0x80), (0xE2, 0x81), (0xE3, 0x80)):
                 space |= (two == first) & (one == second)
             ends |= tail & ~space
+        return ends
+
+    def _cuts(self, part: np.ndarray, ends: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Where pieces begin: at every row, and at safe places inside."""
         begins = np.zeros(len(part), bool)
         begins[1:] = self.blank[part[1:]] & ends[:-1]
         begins[rows[rows < len(part)]] = True
         return np.flatnonzero(begins)
 
-    def _learn(self, part: np.ndarray, names: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
-        data = part.tobytes()
-        found = self.tokenizer.encode_batch_fast(
-            [data[a:b].decode("utf-8", "replace") for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], add_special_tokens=False
-        )
+    def _alone(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        found = self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in pieces], add_special_tokens=False)
         lists = [e.ids for e in found]
-        sizes = np.array([len(x) for x in lists])
-        ids = np.fromiter((i for x in lists for i in x), np.uint32, int(sizes.sum()))
+        sizes = np.array([len(x) for x in lists], np.int64)
+        return np.fromiter((i for x in lists for i in x), np.uint32, int(sizes.sum())), sizes
+
+    def _joined(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_alone``, of pieces that begin and end at safe places."""
+        ends = np.cumsum([len(p) for p in pieces])
+        cuts = [0, *(np.flatnonzero(np.diff(ends // self.together)) + 1).tolist(), len(pieces)]
+        texts = [b"".join(pieces[a:b]).decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:], strict=False)]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.concatenate([np.array(e.ids, np.uint32) for e in found])
+        if int(ids.max(initial=0)) < len(self.width):
+            reached = np.cumsum(self.width[ids])
+            last = np.searchsorted(reached, ends)
+            if len(reached) and reached[-1] == ends[-1] and np.array_equal(reached[last], ends):
+                return ids, np.diff(last + 1, prepend=0)
+        return self._alone(pieces)  # bytes that are no text, or a tokenizer that changes texts
+
+    def _learn(self, part: np.ndarray, solid: np.ndarray, names: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        inner = self.blank[part[starts]] & solid[ends - 1]
+        for which, encoded in ((inner, self._joined), (~inner, self._alone)):
+            if which.any():
+                data = part.tobytes()
+                pieces = [data[a:b] for a, b in zip(starts[which].tolist(), ends[which].tolist(), strict=True)]
+                self._keep(names[which], *encoded(pieces))
+
+    def _keep(self, names: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
         count = len(self.known)
         while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while count + len(lists) > len(self.begin):
+        while count + len(sizes) > len(self.begin):
             self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
             self.size = np.concatenate([self.size, np.zeros_like(self.size)])
         self.flat[self.used : self.used + len(ids)] = ids
-        self.begin[count : count + len(lists)] = self.used + np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        self.size[count : count + len(lists)] = sizes
+        self.begin[count : count + len(sizes)] = self.used + np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        self.size[count : count + len(sizes)] = sizes
         self.used += len(ids)
-        self.known.update(zip(names.tolist(), range(count, count + len(lists)), strict=True))
+        self.known.update(zip(names.tolist(), range(count, count + len(sizes)), strict=True))
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the rows that ``offsets`` bound, one after the other, and the number of each row's."""
@@ -133,7 +167,8 @@ class PieceEncoder:
             return np.zeros(0, np.uint32), np.zeros(len(rows) - 1, np.int64)
         if len(self.known) > self.most:
             self._forget()
-        starts = self._cuts(part, rows[:-1])
+        solid = self._ends(part)
+        starts = self._cuts(part, solid, rows[:-1])
         ends = np.append(starts[1:], len(part))
         if len(part) < len(self.power):
             sums = np.concatenate([[U(0)], np.cumsum(self.values[part] * self.power[: len(part)], dtype=U)])
@@ -150,9 +185,8 @@ class PieceEncoder:
         slots = np.array([self.known.get(n, -1) for n in names.tolist()])
         new = np.flatnonzero(slots < 0)
         if len(new):
-            at = len(self.known)
-            self._learn(part, names[new], starts[first[new]], ends[first[new]])
-            slots[new] = np.arange(at, at + len(new))
+            self._learn(part, solid, names[new], starts[first[new]], ends[first[new]])
+            slots[new] = [self.known[n] for n in names[new].tolist()]
         slots = slots[place]
         sizes = self.size[slots]
         total = np.concatenate([[0], np.cumsum(sizes)])
@@ -228,7 +262,7 @@ def _write(layout: Layout, folder: str):
         for batch in batches:
             data, offsets = column_bytes(batch.column("text"))
             names = batch.column("doc_id").to_pylist()
-            for low, high in row_slices(offsets):
+            for low, high in row_slices(offsets, encoder.step):
                 ids, sizes = encoder.encode(data, offsets[low : high + 1])
                 ends = np.cumsum(sizes)
                 # The end id goes behind every document.

@@ -169,6 +169,21 @@ def test_token_files(docs, none):
     assert packed_tokens.written_and_read(none).count() == 0
 
 
+@pytest.mark.parametrize(("most", "together"), [(1 << 20, 1 << 15), (50, 16)])
+def test_pieces_encoded_together(most, together):
+    """White space of all kinds at the borders of texts, bytes that are no text, and pieces that are forgotten in between."""
+    rng = np.random.default_rng(3)
+    marks = [" ", "  ", "\t", "\n", "\r\n", "\u0085", "\u00a0", "\u2003", "\u3000", "word", "Straße", "日本", "🙂", "it's", "42", "<|endoftext|>", "\x00", "e\u0301"]
+    raw = ["".join(rng.choice(marks, rng.integers(0, 40))).encode() for _ in range(300)] + [b"", b"ok \xff\xfe bad", b" \xe2\x80 cut", b" a b \xc3"]
+    encoder = packed_tokens.PieceEncoder(packed_tokens.Layout().tokenizer, most, together)
+    for texts in (raw[:100], raw[100:], raw):
+        offsets = np.cumsum([0, *map(len, texts)])
+        ids, sizes = encoder.encode(np.frombuffer(b"".join(texts), np.uint8), offsets)
+        want = [encoder.tokenizer.encode(t.decode("utf-8", "replace"), add_special_tokens=False).ids for t in texts]
+        assert sizes.tolist() == [len(w) for w in want]
+        assert ids.tolist() == [i for w in want for i in w]
+
+
 @pytest.mark.parametrize("bits", [1, 5, 8, 15, 16, 17, 31])
 def test_packing(bits):
     ids = np.random.default_rng(0).integers(0, 2**bits, 1001).astype(np.uint32)
