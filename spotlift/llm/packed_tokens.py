@@ -326,9 +326,13 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             file.close()
 
 
-def read_back(manifest: DataFrame) -> DataFrame:
-    """``doc_id, start, n_tokens, ids_crc32`` of every document, from the files that the manifest names."""
-    dealt = manifest.select("path", "start").repartition(F.col("path"))
+def read_back(manifest: DataFrame, files_per_task: int = 4) -> DataFrame:
+    """``doc_id, start, n_tokens, ids_crc32`` of every document, from the files that the manifest names.
+
+    The number of tasks is fixed: by the manifest's own few bytes adaptive execution would read all files in one.
+    """
+    tasks = min(max(1, -(-manifest.count() // files_per_task)), 1 << 15)
+    dealt = manifest.select("path", "start").repartition(tasks, F.col("path"))
     return dealt.mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
