@@ -16,6 +16,7 @@ from spotlift.operators.checks import duplicate_groups, union_all
 from spotlift.operators.scaling import Scaler, scaling_stats
 from spotlift.plans import marts, measures, qa_report, quality_gate, scoring
 from spotlift.plans.ingest import audit_rows
+from spotlift.schemas import RAW_SOURCES
 from spotlift.sources.catalog import row_counts
 from spotlift.sources.retail_binding import BOUND_FILES, RetailTables
 
@@ -59,6 +60,20 @@ def _dq_frame(t: RetailTables) -> DataFrame:
     return quality_gate.dq_results(tables)
 
 
+def _damaged_dq_frame(t: RetailTables) -> DataFrame:
+    tables = {name: t.damaged(name) for name in ("raw.grp_spots", "raw.sessions")}
+    return quality_gate.dq_results({**tables, quality_gate.FACT: t.damaged("fact"), quality_gate.EFFECTIVENESS: t.damaged("mart")})
+
+
+def _damaged_pk_checks(t: RetailTables) -> DataFrame:
+    return union_all([qa_report.key_checks(t.damaged(s.table), s.table, s.key) for s in RAW_SOURCES])
+
+
+def _raw_minimum_rows(t: RetailTables) -> DataFrame:
+    minimum = {"raw.grp_spots": 1, "raw.sessions": 1, "raw.campaign_master": 10**12, "raw.odec_mapping": 25}
+    return union_all([qa_report.minimum_row_check(df, name, minimum[name]) for name, df in t.raw_tables.items()])
+
+
 def _duplicate_keys(t: RetailTables) -> DataFrame:
     keys = [
         ("raw.grp_spots", t.raw_spots, "spot_id"),
@@ -161,6 +176,13 @@ def _reference_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             ),
             "qa_lift_not_null": lambda t: qa_report.null_lift(t.effectiveness, "incremental_lift_pct"),
             "qa_score_bounds": lambda t: qa_report.score_failures(_rates(t), "control_conversion_rate", 0, 1),
+            # the same checks over damaged tables, where each has failures to find
+            "damaged_dq_results": lambda t: quality_gate.worst_first(_damaged_dq_frame(t)),
+            "damaged_dq_total_failures": lambda t: quality_gate.total_failures(_damaged_dq_frame(t)),
+            "damaged_pk_checks": _damaged_pk_checks,
+            "damaged_attribution_window": lambda t: qa_report.attribution_failures(t.damaged("attributed"), "spot_ts", "session_ts"),
+            "damaged_lift_not_null": lambda t: qa_report.null_lift(t.damaged("mart"), "incremental_lift_pct"),
+            "raw_minimum_rows": _raw_minimum_rows,
             # business measures and chart frames
             "kpi_summary": lambda t: measures.kpi_summary(t.effectiveness),
             "budget_by_campaign": lambda t: measures.budget_by_campaign(t.effectiveness),
@@ -377,29 +399,74 @@ def _check(table: str, name: str, count: str) -> str:
     return f"SELECT '{table}' AS table_name, '{name}' AS check_name, ({count}) AS failed_rows"
 
 
-_DQ = " UNION ALL ".join(
-    [
-        _check("raw.grp_spots", "spot_id_not_null", "SELECT count(*) - count(spot_id) FROM spots"),
-        _check("raw.grp_spots", "campaign_id_not_null", "SELECT count(*) - count(campaign_id) FROM spots"),
-        _check("raw.sessions", "session_id_not_null", "SELECT count(*) - count(session_id) FROM visits"),
-        _check("raw.sessions", "session_timestamp_not_null", "SELECT count(*) - count(session_ts) FROM visits"),
+def _dq(prefix: str = "") -> str:
+    checks = [
+        _check("raw.grp_spots", "spot_id_not_null", f"SELECT count(*) - count(spot_id) FROM {prefix}spots"),
+        _check("raw.grp_spots", "campaign_id_not_null", f"SELECT count(*) - count(campaign_id) FROM {prefix}spots"),
+        _check("raw.sessions", "session_id_not_null", f"SELECT count(*) - count(session_id) FROM {prefix}visits"),
+        _check("raw.sessions", "session_timestamp_not_null", f"SELECT count(*) - count(session_ts) FROM {prefix}visits"),
         _check(
             "marts.fact_campaign_sessions",
             "no_duplicate_attributed_sessions",
-            "SELECT count(*) FROM (SELECT session_id FROM fact GROUP BY ALL HAVING count(*) > 1)",
+            f"SELECT count(*) FROM (SELECT session_id FROM {prefix}fact GROUP BY ALL HAVING count(*) > 1)",
         ),
         _check(
             "marts.fact_campaign_sessions",
             "valid_attribution_window",
-            "SELECT count(*) FROM fact WHERE minutes_after_spot NOT BETWEEN 0 AND 15",
+            f"SELECT count(*) FROM {prefix}fact WHERE minutes_after_spot NOT BETWEEN 0 AND 15",
         ),
         _check(
             "marts.mart_campaign_effectiveness",
             "non_negative_session_counts",
-            "SELECT count(*) FROM mart WHERE least(pre_spot_sessions, post_spot_sessions) < 0",
+            f"SELECT count(*) FROM {prefix}mart WHERE least(pre_spot_sessions, post_spot_sessions) < 0",
         ),
     ]
-)
+    return " UNION ALL ".join(checks)
+
+
+_DQ = _dq()
+_BAD_DIMENSIONS = [
+    """
+bad_campaigns AS (
+    SELECT * REPLACE (CASE WHEN campaign_id % 7 = 0 THEN NULL WHEN campaign_id % 5 = 0 THEN 1 ELSE campaign_id END AS campaign_id)
+    FROM campaigns)""",
+    """
+bad_channels AS (
+    SELECT * REPLACE (CASE WHEN channel_id % 7 = 0 THEN NULL WHEN channel_id % 5 = 0 THEN 1 ELSE channel_id END AS channel_id)
+    FROM channels)""",
+]
+_BAD_EVENTS = [
+    """
+bad_spots AS (
+    SELECT * REPLACE (CASE WHEN spot_id % 13 = 0 THEN NULL WHEN spot_id % 11 = 0 THEN 1 ELSE spot_id END AS spot_id,
+                      CASE WHEN spot_id % 17 <> 1 THEN campaign_id END AS campaign_id)
+    FROM spots)""",
+    """
+bad_visits AS (
+    SELECT * REPLACE (CASE WHEN session_id % 97 = 0 THEN NULL WHEN session_id % 89 = 0 THEN session_id % 5
+                           ELSE session_id END AS session_id,
+                      CASE WHEN session_id % 83 <> 1 THEN session_ts END AS session_ts)
+    FROM visits)""",
+]
+_BAD_MARTS = [
+    """
+bad_fact AS (
+    SELECT * REPLACE (CASE WHEN session_id % 11 = 0 THEN session_id % 3 ELSE session_id END AS session_id,
+                      CASE WHEN session_id % 13 = 0 THEN minutes_after_spot + 20 WHEN session_id % 7 = 0 THEN -1
+                           ELSE minutes_after_spot END AS minutes_after_spot)
+    FROM fact)""",
+    """
+bad_mart AS (
+    SELECT * REPLACE (CASE WHEN spot_id % 17 = 0 THEN -1 ELSE pre_spot_sessions END AS pre_spot_sessions,
+                      CASE WHEN spot_id % 19 = 0 THEN -2 ELSE post_spot_sessions END AS post_spot_sessions,
+                      CASE WHEN spot_id % 23 <> 0 THEN incremental_lift_pct END AS incremental_lift_pct)
+    FROM mart)""",
+]
+_BAD_BEST = """
+bad_best AS (
+    SELECT * REPLACE (CASE WHEN session_id % 7 = 0 THEN spot_ts + INTERVAL 9 DAY
+                           WHEN session_id % 5 = 0 THEN spot_ts - INTERVAL 1 HOUR ELSE session_ts END AS session_ts)
+    FROM best)"""
 
 
 def _counted(select: str) -> str:
@@ -525,6 +592,43 @@ def _reference_sql() -> dict[str, str]:
             [*_TO_MART, _RATES],
             "SELECT count(*) AS invalid_rows FROM rates WHERE control IS NULL OR control NOT BETWEEN 0 AND 1",
         ),
+        "damaged_dq_results": _sql([*_TO_MART, *_BAD_EVENTS, *_BAD_MARTS], _dq("bad_")),
+        "damaged_dq_total_failures": _sql(
+            [*_TO_MART, *_BAD_EVENTS, *_BAD_MARTS],
+            f"SELECT CAST(sum(failed_rows) AS BIGINT) AS total_failures FROM ({_dq('bad_')})",
+        ),
+        "damaged_pk_checks": _sql(
+            [*_RAW, *_BAD_DIMENSIONS, *_BAD_EVENTS],
+            " UNION ALL ".join(
+                [
+                    _pk("raw.campaign_master", "bad_campaigns", "campaign_id"),
+                    _pk("raw.grp_spots", "bad_spots", "spot_id"),
+                    _pk("raw.sessions", "bad_visits", "session_id"),
+                    _pk("raw.odec_mapping", "bad_channels", "channel_id"),
+                ]
+            ),
+        ),
+        "damaged_attribution_window": _sql(
+            [*_TO_BEST, _BAD_BEST],
+            "SELECT count(*) AS invalid_rows FROM bad_best "
+            "WHERE session_ts < spot_ts OR date_diff('day', spot_ts, session_ts) > 7",
+        ),
+        "damaged_lift_not_null": _sql(
+            [*_TO_MART, *_BAD_MARTS], "SELECT count(*) - count(incremental_lift_pct) AS invalid_rows FROM bad_mart"
+        ),
+        "raw_minimum_rows": _sql(
+            _RAW,
+            " UNION ALL ".join(
+                f"SELECT 'Raw row count: {t}' AS check_name, if(count(*) < {least}, 'FAILED', 'PASSED') AS status, "
+                f"if(count(*) < {least}, 'Expected at least {least}, actual=', 'Actual rows=') || count(*) AS details FROM {f}"
+                for t, f, least in [
+                    ("raw.grp_spots", "spots", 1),
+                    ("raw.sessions", "visits", 1),
+                    ("raw.campaign_master", "campaigns", 10**12),
+                    ("raw.odec_mapping", "channels", 25),
+                ]
+            ),
+        ),
         "kpi_summary": _sql(
             _TO_MART,
             "SELECT count(DISTINCT campaign_id) AS total_campaigns, "

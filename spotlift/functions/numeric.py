@@ -17,11 +17,20 @@ def is_missing(c: Column | str) -> Column:
     return c.isNull() | c.cast("string").isin(MISSING_TEXTS)
 
 
+_NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$"
+
+
 def to_number(c: Column | str) -> Column:
-    """Double value of a text or null. A trailing Java type letter (``1d``) is no number."""
+    """Double value of a decimal text or null. Java's type letters (``1d``) and hexadecimal notation make no number."""
     c = F.col(c) if isinstance(c, str) else c
     text = c.cast("string")
-    return F.when(~text.rlike(r"[0-9.][dDfF]\s*$"), text.try_cast("double"))
+    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+
+
+def is_boolean(c: Column | str) -> Column:
+    """True where a text is ``True`` or ``False`` in a spelling that a profiled file may use for it."""
+    c = F.col(c) if isinstance(c, str) else c
+    return c.cast("string").isin("True", "TRUE", "true", "False", "FALSE", "false")
 
 
 def invalid_number(c: Column | str) -> Column:

@@ -60,25 +60,28 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[RowCheck | Dupl
     parts = []
     for table in dict.fromkeys(c.table for c in checks):
         row_checks = [c for c in checks if c.table == table and isinstance(c, RowCheck)]
-        if row_checks:
-            results = F.array(
-                *[
-                    F.struct(
-                        F.lit(c.table).alias("table_name"),
-                        F.lit(c.name).alias("check_name"),
-                        F.count_if(F.expr(c.fails)).alias("failed_rows"),
-                    )
-                    for c in row_checks
-                ]
-            )
-            parts.append(tables[table].agg(results.alias("results")).select(F.inline("results")))
-    for c in checks:
-        if isinstance(c, DuplicateCheck):
-            parts.append(
-                duplicate_groups(tables[c.table], c.key).select(
-                    F.lit(c.table).alias("table_name"),
-                    F.lit(c.name).alias("check_name"),
-                    F.col("duplicate_groups").alias("failed_rows"),
-                )
-            )
+        keys = dict.fromkeys(c.key for c in checks if c.table == table and isinstance(c, DuplicateCheck))
+        for key in keys or [None]:
+            here = [c for c in checks if c.table == table and isinstance(c, DuplicateCheck) and c.key == key]
+            parts.append(_counted(tables[table], [*row_checks, *here], key))
+            row_checks = []  # done with the first key's
     return union_all(parts)
+
+
+def _counted(df: DataFrame, checks: Sequence[RowCheck | DuplicateCheck], key: str | None) -> DataFrame:
+    """Checks of one table in one pass; with a key, rows are counted by key first and failures added up after."""
+    failing = {f"failing_{i}": F.count_if(F.expr(c.fails)) for i, c in enumerate(checks) if isinstance(c, RowCheck)}
+    if key is not None:
+        df = df.groupBy(key).agg(F.count("*").alias("rows_of_key"), *[n.alias(a) for a, n in failing.items()])
+        failing = {a: F.coalesce(F.sum(a), F.lit(0).cast("long")) for a in failing}
+    results = F.array(
+        *[
+            F.struct(
+                F.lit(c.table).alias("table_name"),
+                F.lit(c.name).alias("check_name"),
+                failing.get(f"failing_{i}", F.count_if(F.expr("rows_of_key > 1"))).alias("failed_rows"),
+            )
+            for i, c in enumerate(checks)
+        ]
+    )
+    return df.agg(results.alias("results")).select(F.inline("results"))

@@ -10,9 +10,12 @@ keep the residual from rejecting more than a sliver of what the join pairs up.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from spotlift.functions.timing import minute_no, shifted
-from spotlift.operators.salting import ROWS_PER_TASK, SALT, hot_keys, key_counts, replicate, spread
+from spotlift.operators.salting import ROWS_PER_TASK, key_counts
+
+ANCHORS_PER_TASK = 1_000
 
 
 def interval_join(
@@ -23,22 +26,55 @@ def interval_join(
     before_s: int,
     after_s: int,
     rows_per_task: int = ROWS_PER_TASK,
+    anchors_per_task: int = ANCHORS_PER_TASK,
 ) -> DataFrame:
     """Inner join on ``anchor - before_s <= point <= anchor + after_s``, both ends included.
 
     The result holds all pairs, so its size can grow with the square of the traffic in a
-    slice; nothing downstream in this library is computed from it. Slices with many points
-    are spread over several tasks.
+    slice; nothing downstream in this library is computed from it. A slice is cut into a grid:
+    anchors into blocks of about ``anchors_per_task``, points into blocks that with such a block
+    give about ``100 * rows_per_task`` pairs and hold at most ``rows_per_task`` rows. Every cell of
+    the grid is a join key of its own, so neither many points nor many anchors meet in one task.
     """
     first, last = shifted(anchor_ts, -before_s), shifted(anchor_ts, after_s)
     left = points.where(f"{point_ts} IS NOT NULL").selectExpr("*", f"{minute_no(point_ts)} AS slice")
     right = anchors.where(f"{anchor_ts} IS NOT NULL").selectExpr(
         "*", f"explode(sequence({minute_no(first)}, {minute_no(last)})) AS slice"
     )
-    hot = hot_keys(key_counts(left.select("slice"), "slice"), "slice", rows_per_task)
+    grid = _grid(left, right, int(rows_per_task), int(anchors_per_task))
     return (
-        spread(left, "slice", hot)
-        .join(replicate(right, "slice", hot), ["slice", SALT])
+        _placed(left, grid, "point_block", "anchor_block")
+        .join(_placed(right, grid, "anchor_block", "point_block"), ["slice", "point_block", "anchor_block"])
         .where(f"{point_ts} BETWEEN {first} AND {last}")
-        .drop("slice", SALT)
+        .drop("slice", "point_block", "anchor_block")
+    )
+
+
+def _grid(left: DataFrame, right: DataFrame, rows_per_task: int, anchors_per_task: int) -> DataFrame:
+    """Slices that are cut, and into how many blocks on either side."""
+    meeting = f"greatest(rows, rows * least(anchors, {anchors_per_task}) / 100)"
+    counts = key_counts(left.select("slice"), "slice").join(
+        key_counts(right.select("slice"), "slice").withColumnRenamed("rows", "anchors"), "slice"
+    )
+    cut = counts.selectExpr(
+        "slice",
+        f"cast(ceil({meeting} / {rows_per_task}) AS int) AS point_blocks",
+        f"cast(ceil(anchors / {anchors_per_task}) AS int) AS anchor_blocks",
+    )
+    return cut.where("point_blocks > 1 OR anchor_blocks > 1")
+
+
+def _placed(df: DataFrame, grid: DataFrame, own: str, other: str) -> DataFrame:
+    """Each row in one block of its own side, by content and input partition, and in all of the other side.
+
+    The grid carries no hint: it is broadcast only where Spark finds it small, else both are sorted
+    and rows of a busy slice are split by adaptive execution.
+    """
+    content = f"xxhash64({', '.join(df.columns)})"
+    blocks = f"coalesce({own}s, 1)"
+    return (
+        df.join(grid, "slice", "left")
+        .withColumn(own, F.expr(f"cast(pmod({content} + spark_partition_id(), {blocks}) AS int)"))
+        .withColumn(other, F.expr(f"explode(sequence(0, coalesce({other}s, 1) - 1))"))
+        .drop("point_blocks", "anchor_blocks")
     )

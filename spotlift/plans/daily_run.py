@@ -42,15 +42,18 @@ class RunConfig:
     output_root: str
     model_folder: str
     #: The pairs table is not needed by any mart and can be far larger than its inputs.
-    publish_candidates: bool = True
+    publish_candidates: bool = False
 
 
 def stage(spark: SparkSession) -> dict[str, DataFrame]:
     return {v: replace_view(spark, v, table, columns) for v, (table, columns) in STAGING_VIEWS.items()}
 
 
-def transform(spark: SparkSession, publish_candidates: bool = True) -> DataFrame:
-    """Build staging views, intermediate tables and marts; returns their row counts."""
+def transform(spark: SparkSession, publish_candidates: bool = False) -> DataFrame:
+    """Build staging views, intermediate tables and marts; returns their row counts.
+
+    Without candidates, those that an earlier run left are dropped: they would no longer fit.
+    """
     staged = stage(spark)
     spots, sessions = staged["staging.stg_grp_spots"], staged["staging.stg_sessions"]
     campaigns, channels = staged["staging.stg_campaign_master"], staged["staging.stg_odec_mapping"]
@@ -58,6 +61,8 @@ def transform(spark: SparkSession, publish_candidates: bool = True) -> DataFrame
     built = {}
     if publish_candidates:
         built[CANDIDATES] = replace_table(marts.session_spot_candidates(sessions, spots), CANDIDATES)
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {CANDIDATES}")
     attributed = marts.attributed_sessions(marts.nearest_spots(sessions, spots))
     built[ATTRIBUTED] = replace_table(attributed, ATTRIBUTED)
     built[PRE_POST] = replace_table(marts.pre_post_spot_sessions(sessions, spots), PRE_POST)

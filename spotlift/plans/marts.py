@@ -79,18 +79,20 @@ def nearest_spots(
 def attributed_sessions(nearest: DataFrame) -> DataFrame:
     """One row per session id: the one with the fewest minutes since its spot.
 
-    Among equal minutes the later spot wins, then the lower spot id; the remaining columns
-    only settle repeated session ids. Fewer minutes and a later spot go together, so the
+    Among equal minutes the later spot wins, then the lower spot id; a hash of the remaining columns
+    only settles repeated session ids, so that a consumer need not carry them. Fewer minutes and a later spot go together, so the
     best candidate of a session is its nearest spot and the pairs need not be ranked. Spark
     keeps the top row per id on the map side before the shuffle, so a session id repeated
     very often arrives as one row per map task.
     """
     rest = [c for c in CANDIDATE_COLUMNS if c not in ("session_id", "spot_id", "spot_ts")]
-    best_first = f"minutes_after_spot, spot_ts DESC, spot_id ASC NULLS LAST, {', '.join(rest)}"
+    best_first = "minutes_after_spot, spot_ts DESC, spot_id ASC NULLS LAST, settled_by"
     return (
-        nearest.selectExpr("*", f"row_number() OVER (PARTITION BY session_id ORDER BY {best_first}) AS attribution_rank")
+        nearest.selectExpr("*", f"xxhash64({', '.join(rest)}) AS settled_by")
+        .selectExpr("*", f"row_number() OVER (PARTITION BY session_id ORDER BY {best_first}) AS attribution_rank")
         .where("attribution_rank = 1")
         .withColumn("attribution_rank", F.expr("cast(attribution_rank AS bigint)"))
+        .drop("settled_by")
     )
 
 

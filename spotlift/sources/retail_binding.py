@@ -9,6 +9,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from spotlift.operators import staging
 from spotlift.plans import marts
@@ -29,9 +30,39 @@ TABLE_SCHEMAS = {
     "region": "r_regionkey int, r_name string",
 }
 
+#: What is wrong in the damaged frames: nulls, repeated keys and values out of range, on a fixed share of the rows.
+_DAMAGE = {
+    "raw.grp_spots": {
+        "spot_id": "CASE WHEN spot_id % 13 = 0 THEN NULL WHEN spot_id % 11 = 0 THEN 1 ELSE spot_id END",
+        "campaign_id": "if(spot_id % 17 = 1, NULL, campaign_id)",
+    },
+    "raw.sessions": {
+        "session_id": "CASE WHEN session_id % 97 = 0 THEN NULL WHEN session_id % 89 = 0 THEN session_id % 5 ELSE session_id END",
+        "session_timestamp": "if(session_id % 83 = 1, NULL, session_timestamp)",
+    },
+    "raw.campaign_master": {"campaign_id": "CASE WHEN campaign_id % 7 = 0 THEN NULL WHEN campaign_id % 5 = 0 THEN 1 ELSE campaign_id END"},
+    "raw.odec_mapping": {"channel_id": "CASE WHEN channel_id % 7 = 0 THEN NULL WHEN channel_id % 5 = 0 THEN 1 ELSE channel_id END"},
+    "fact": {
+        "session_id": "if(session_id % 11 = 0, session_id % 3, session_id)",
+        "minutes_after_spot": "CASE WHEN session_id % 13 = 0 THEN minutes_after_spot + 20 WHEN session_id % 7 = 0 THEN -1 ELSE minutes_after_spot END",
+    },
+    "mart": {
+        "pre_spot_sessions": "if(spot_id % 17 = 0, -1, pre_spot_sessions)",
+        "post_spot_sessions": "if(spot_id % 19 = 0, -2, post_spot_sessions)",
+        "incremental_lift_pct": "if(spot_id % 23 = 0, NULL, incremental_lift_pct)",
+    },
+    "attributed": {
+        "session_ts": "CASE WHEN session_id % 7 = 0 THEN spot_ts + INTERVAL '9' DAY "
+        "WHEN session_id % 5 = 0 THEN spot_ts - INTERVAL '1' HOUR ELSE session_ts END"
+    },
+}
+
 
 class RetailTables:
-    """Raw, staged and derived frames over one folder of test tables; all lazy."""
+    """Raw, staged and derived frames over one folder of test tables.
+
+    Touching ``nearest`` or a frame behind it runs the job that sizes the index of spots; the rest is lazy.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
@@ -93,6 +124,12 @@ class RetailTables:
             "raw.odec_mapping": self.raw_channels,
         }
 
+    def damaged(self, name: str) -> DataFrame:
+        """A raw table, the ``fact``, the ``mart`` or the ``attributed`` sessions with faults that checks have to find."""
+        whole = {"fact": "fact", "mart": "effectiveness", "attributed": "attributed"}
+        df = getattr(self, whole[name]) if name in whole else self.raw_tables[name]
+        return df.withColumns({c: F.expr(e) for c, e in _DAMAGE[name].items()})
+
     @cached_property
     def spots(self) -> DataFrame:
         return staging.stage_spots(self.raw_spots)

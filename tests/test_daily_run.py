@@ -41,7 +41,7 @@ TABLE_ROWS = {
 @pytest.fixture(scope="module")
 def run(spark, tmp_path_factory):
     base = tmp_path_factory.mktemp("run")
-    config = RunConfig(write_raw_files(base / "raw"), str(base / "out"), str(base / "model"))
+    config = RunConfig(write_raw_files(base / "raw"), str(base / "out"), str(base / "model"), publish_candidates=True)
     run_daily(spark, config)
     return config
 
@@ -116,7 +116,7 @@ def test_audit_log_and_gate_results(spark, run):
 
 
 def test_qa_report_of_a_good_run(spark, run, tmp_path):
-    report = run_qa(spark, run.source_root, str(tmp_path / "qa.csv"))
+    report = run_qa(spark, run.source_root, str(tmp_path / "qa.csv"), QaConfig(expected_tables=qa_report.EXPECTED_TABLES))
     rows = {r.check_name: (r.status, r.details) for r in report.collect()}
     assert {s for s, _ in rows.values()} == {"PASSED"}
     assert rows["File not empty: grp_spots/grp_spots.csv"] == ("PASSED", "File exists and size=261 bytes")
@@ -315,3 +315,57 @@ def test_a_failed_load_leaves_the_old_table_and_a_log_of_each_source(spark, tmp_
 def test_export_keeps_blanks(spark, tmp_path):
     write_csv(spark.createDataFrame([("  padded ", 1)], "a string, b int"), str(tmp_path / "out"))
     assert "  padded ,1" in "".join(p.read_text() for p in (tmp_path / "out").glob("part-*"))
+
+
+@pytest.mark.parametrize("wrong", [
+    {"a.csv": "k,v\n1,2\n3,4,5\n"}, {"a.csv": "k,v\n1,2\n3\n"}, {"a.csv": "k,v\n1,2\n", "b.csv": "v,k\n2,1\n"},
+])
+def test_rows_and_parts_that_do_not_fit_their_header_fail(spark, tmp_path, wrong):
+    folder = tmp_path / "wrong"
+    folder.mkdir()
+    for name, text in wrong.items():
+        (folder / name).write_text(text)
+    for read in (lambda df: df.count(), lambda df: df.select("k").collect(), lambda df: df.collect()):
+        with pytest.raises(Exception, match="CSV|MALFORMED|header"):
+            read(read_text_columns(spark, str(folder)))
+
+
+def test_ragged_source_keeps_the_old_table(spark, tmp_path):
+    ingest(spark, write_raw_files(tmp_path / "good"))
+    key = "odec/odec_mapping.csv"
+    root = write_raw_files(tmp_path / "bad", **{key: RAW_FILES[key] + "TV09,CODE9,Star, Plus,TV\n"})
+    with pytest.raises(Exception, match="MALFORMED"):
+        ingest(spark, root)
+    assert spark.table("raw.odec_mapping").where("channel_id = 'TV09'").isEmpty()
+    assert spark.table("raw.odec_mapping").count() > 0
+
+
+def test_export_writes_numbers_without_exponent(spark, tmp_path):
+    values = [12000000.0, 0.0001, 1.5, -3.25e-7, 123456789012345.6, 100.0, None]
+    write_csv(spark.createDataFrame([(v, i) for i, v in enumerate(values)], "v double, i int").coalesce(1), str(tmp_path / "out"))
+    lines = "".join(p.read_text() for p in (tmp_path / "out").glob("part-*")).split()[1:]
+    assert [line.split(",")[0] for line in lines] == [
+        "12000000.0", "0.0001", "1.5", "-0.000000325", "123456789012345.6", "100.0", "",
+    ]
+
+
+def test_booleans_count_as_numbers_only_on_their_own(spark):
+    df = spark.createDataFrame([("True", "True", "0x1p3"), ("False", "x", "1"), (None, "1", "2")], "a string, b string, c string")
+    got = {r.column_name: r.invalid_values for r in qa_report.numeric_columns(df, ["a", "b", "c"]).collect()}
+    assert got == {"a": 0, "b": 2, "c": 1}
+
+
+def test_steps_as_commands_equal_the_run(spark, tmp_path):
+    from spotlift.__main__ import main
+
+    root, out, model = write_raw_files(tmp_path / "raw"), str(tmp_path / "out"), str(tmp_path / "model")
+    steps = (["ingest", root], ["transform"], ["gate"], ["export", out], ["score", out, model])
+    assert [main(words, spark) for words in steps] == [0] * 5
+    assert main(["qa", root, str(tmp_path / "qa.csv")], spark) == 0
+    assert not catalog.table_exists(spark, daily_run.CANDIDATES)
+    found = {t: sorted(map(tuple, spark.table(t).collect())) for t in (daily_run.FACT, daily_run.EFFECTIVENESS, daily_run.SCORES)}
+    assert main(["run", root, out, model, "--candidates"], spark) == 0
+    assert {t: sorted(map(tuple, spark.table(t).collect())) for t in found} == found
+    assert main(["qa", root, str(tmp_path / "qa2.csv"), "--candidates"], spark) == 0
+    spark.sql(f"DROP TABLE {daily_run.ODEC}")
+    assert main(["qa", root, str(tmp_path / "qa3.csv"), "--fail-fast"], spark) == 1

@@ -219,3 +219,19 @@ def test_index_stays_within_its_announced_size(spark, name):
 def test_top_attribution_is_taken_before_the_shuffle(spark):
     sessions, spots = (f(spark, rows) for f, rows in zip((session_frame, spot_frame), CASES["sparse"], strict=True))
     assert "WindowGroupLimit" in executed_plan(marts.attributed_sessions(marts.nearest_spots(sessions, spots)))
+
+
+def test_many_spots_in_a_minute_are_spread(spark):
+    """A grid over one minute: every pair once, none of its cells with more than a small part of them."""
+    from spotlift.operators import interval_join as joins
+
+    left = spark.range(900).selectExpr("id AS p", "timestamp_ntz'2024-01-01 10:05:00' + make_dt_interval(0, 0, 0, id % 50) AS ts")
+    right = spark.range(500).selectExpr("id AS a", "timestamp_ntz'2024-01-01 10:04:00' AS at")
+    pairs = joins.interval_join(left, right, "ts", "at", 0, 900, rows_per_task=1000, anchors_per_task=50)
+    assert (pairs.count(), pairs.distinct().count()) == (450_000, 450_000)
+    points = left.selectExpr("*", "1 AS slice")
+    anchors = right.selectExpr("*", "1 AS slice")
+    grid = joins._grid(points, anchors, 100, 50)
+    assert tuple(grid.first()) == (1, 9, 10)
+    cells = joins._placed(anchors, grid, "anchor_block", "point_block").groupBy("point_block", "anchor_block").count()
+    assert cells.count() == 90 and cells.agg({"count": "max"}).first()[0] < 100
