@@ -8,7 +8,8 @@ phrase's hash; a document is parsed by looking its phrases up in all blocks, whi
 * A phrase that an earlier document holds word for word extends the current factor, so factors grow greedily over
   consecutive phrases.
 * Where a phrase's hash occurs with other words around it a factor ends inside the phrase. Only there are single
-  windows looked up, one representative for each different phrase.
+  windows looked up, one representative for each different phrase; what is found goes for all places of the phrase in the
+  representative's document.
 
 Word windows of 50 are what contract and licence lines repeat by; every window has exactly one phrase, so none is missed.
 Hashes of phrases and windows have 128 bits.
@@ -105,7 +106,7 @@ def _phrases(config: Parsing):
 
 
 def _windows(config: Parsing):
-    """Hashes of the single windows of the listed phrases."""
+    """Hashes of the single windows of the listed phrases; ``place`` has the phrase's start above and the window's offset in the lower 32 bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
@@ -119,17 +120,18 @@ def _windows(config: Parsing):
                 spans = lists[i].values
                 starts = spans.field("start").to_numpy()
                 counts = spans.field("count").to_numpy()
-                at = np.repeat(starts - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
-                a, b = prefix.ranges(at, at + config.window)
+                inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+                phrase = np.repeat(starts, counts)
+                a, b = prefix.ranges(phrase + inside, phrase + inside + config.window)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.full(len(at), ids[i])),
-                        pa.array(np.full(len(at), keys[i])),
-                        pa.array(at.astype(np.int64)),
+                        pa.array(np.full(len(phrase), ids[i])),
+                        pa.array(np.full(len(phrase), keys[i])),
+                        pa.array(phrase.astype(np.int64) << 32 | inside),
                         pa.array(a.view(np.int64)),
                         pa.array(b.view(np.int64)),
                     ],
-                    ["doc_id", "text_key", "start", "hash_a", "hash_b"],
+                    ["doc_id", "text_key", "place", "hash_a", "hash_b"],
                 )
 
     return run
@@ -156,14 +158,19 @@ def factors(docs: DataFrame, config: Parsing = Parsing()) -> DataFrame:
     )
     same = ["anchor", "hash_a", "hash_b"]
     index = phrases.groupBy(*same).agg(
-        F.min(F.struct("doc_id", "text_key", "start", "count")).alias("first"), F.max("doc_id").alias("last")
+        F.min(F.struct("doc_id", "text_key", "start", "count")).alias("first"), F.count("*").alias("n")
     )
     index = written(index, "phrase-index")
-    # Word for word as in an earlier document.
-    repeated = index.where("last > first.doc_id").select(*same, F.col("first.doc_id").alias("first_doc"))
-    whole = phrases.join(repeated, same).where("doc_id > first_doc").selectExpr(
-        "doc_id", "text_key", "start", f"start + count + {size - 1} AS end"
+    # Word for word as in an earlier document, or again in the first one; only the latter keep the representative's place.
+    repeated = index.where("n > 1").select(*same, "first.doc_id", "first.text_key", "first.start").toDF(*same, "first_doc", "first_key", "first_start")
+    places = phrases.join(repeated, same).where("doc_id >= first_doc").selectExpr(
+        "doc_id", "text_key", "start", "count", "IF(doc_id = first_doc, first_key, NULL) AS first_key", "IF(doc_id = first_doc, first_start, NULL) AS first_start"
     )
+    places = written(places, "repeated-phrases")
+    whole = places.where("first_key IS NULL").selectExpr("doc_id", "text_key", "start", f"start + count + {size - 1} AS end")
+    again = places.where("first_key IS NOT NULL").selectExpr(
+        "doc_id", "first_key AS text_key", "first_start AS phrase", "text_key AS again_key", "start AS again"
+    ).distinct()
     # The same anchor with other words around: factors end in these phrases.
     uneven = index.groupBy("anchor").agg(
         F.min("first.doc_id").alias("least"), F.max("first.doc_id").alias("most")
@@ -171,14 +178,18 @@ def factors(docs: DataFrame, config: Parsing = Parsing()) -> DataFrame:
     ends = index.join(uneven, "anchor", "left_semi").select("first.*")
     ends = ends.groupBy(*_KEYS).agg(F.collect_list(F.struct("start", "count")).alias("phrases"))
     single = written(
-        texts.join(ends, _KEYS).mapInArrow(_windows(config), "doc_id long, text_key long, start long, hash_a long, hash_b long"),
+        texts.join(ends, _KEYS).mapInArrow(_windows(config), "doc_id long, text_key long, place long, hash_a long, hash_b long"),
         "windows",
     )
     earliest = single.groupBy("hash_a", "hash_b").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last"))
     earliest = earliest.where("last > first_doc").drop("last")
-    partly = single.join(earliest, ["hash_a", "hash_b"]).where("doc_id > first_doc").selectExpr(
-        "doc_id", "text_key", "start", f"start + {size} AS end"
+    found = single.join(earliest, ["hash_a", "hash_b"]).where("doc_id > first_doc").selectExpr(
+        "doc_id", "text_key", "shiftright(place, 32) AS phrase", "place & 4294967295 AS inside"
     )
+    # What holds for a representative holds wherever its document has the phrase, in all its texts; a phrase that occurs once has no place.
+    partly = found.join(again, ["doc_id", "text_key", "phrase"], "left").selectExpr(
+        "doc_id", "coalesce(again_key, text_key) AS text_key", "coalesce(again, phrase) + inside AS start"
+    ).selectExpr("doc_id", "text_key", "start", f"start + {size} AS end")
     return whole.unionByName(partly)
 
 

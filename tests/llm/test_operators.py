@@ -98,6 +98,26 @@ def test_repeats(docs, none):
     assert substring_dedup.without_repeats(none).count() == 0
 
 
+def test_repeats_within_a_later_document(spark):
+    """Passages that occur several times in the representative's document, and in another text of the same doc_id."""
+    rng = np.random.default_rng(8)
+    shared, before, after, between = (list(rng.choice(WORDS, n)) for n in (60, 60, 60, 30))
+    passage = before + shared + after
+    texts = [(1, shared), (2, passage + between + passage), (2, between + passage + between + passage), (3, passage), (3, passage)]
+    first = {}
+    for i, w in texts:
+        for j in range(len(w) - 49):
+            first.setdefault(tuple(w[j : j + 50]), i)
+    want = []
+    for i, w in texts:
+        gone = {k for j in range(len(w) - 49) if first[tuple(w[j : j + 50])] < i for k in range(j, j + 50)}
+        want.append((i, len(w), len(gone), " ".join(x for k, x in enumerate(w) if k not in gone)))
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in texts], "doc_id long, text string")
+    got = [(r["doc_id"], r["n_words"], r["n_removed"], r["kept_text"]) for r in substring_dedup.without_repeats(frame).collect()]
+    assert sorted(got) == sorted(want)
+    assert [w[2] for w in want] == [0, 120, 120, 180, 180]
+
+
 def _vectors(spark):
     rng = np.random.default_rng(3)
     base = rng.normal(size=(30, 8))
