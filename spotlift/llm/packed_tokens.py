@@ -97,6 +97,7 @@ class PieceEncoder:
 
     def _forget(self) -> None:
         self.known: dict[int, int] = {}
+        self.slots = 0  # handed out; names can leave ``known``, their slots are not used again
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
         self.begin, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
@@ -148,7 +149,7 @@ class PieceEncoder:
                 self._keep(names[which], *encoded(pieces))
 
     def _keep(self, names: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
-        count = len(self.known)
+        count = self.slots
         while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         while count + len(sizes) > len(self.begin):
@@ -158,6 +159,7 @@ class PieceEncoder:
         self.begin[count : count + len(sizes)] = self.used + np.concatenate([[0], np.cumsum(sizes)[:-1]])
         self.size[count : count + len(sizes)] = sizes
         self.used += len(ids)
+        self.slots += len(sizes)
         self.known.update(zip(names.tolist(), range(count, count + len(sizes)), strict=True))
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -165,7 +167,7 @@ class PieceEncoder:
         part, rows = data[offsets[0] : offsets[-1]], offsets - offsets[0]
         if not len(part):
             return np.zeros(0, np.uint32), np.zeros(len(rows) - 1, np.int64)
-        if len(self.known) > self.most:
+        if self.slots > self.most:
             self._forget()
         solid = self._ends(part)
         starts = self._cuts(part, solid, rows[:-1])

@@ -204,6 +204,19 @@ def test_pieces_encoded_together(most, together):
         assert ids.tolist() == [i for w in want for i in w]
 
 
+def test_pieces_around_very_long_rows(monkeypatch):
+    """Rows longer than a step that share pieces, with ordinary rows between and after them."""
+    monkeypatch.setattr(packed_tokens.PieceEncoder, "step", 100)
+    encoder = packed_tokens.PieceEncoder(packed_tokens.Layout().tokenizer)
+    ordinary = [" ".join(f"row{i}x{j}" for j in range(4)) for i in range(8)]
+    long = [" ".join(f"long{j}" for j in range(60)), " ".join(f"long{j} new{j}" for j in range(60))]
+    for text in (long[0], *ordinary[:4], long[1], *ordinary, long[0], *ordinary, *long):
+        data = text.encode()
+        ids, sizes = encoder.encode(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+        want = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+        assert (ids.tolist(), sizes.tolist()) == (want, [len(want)])
+
+
 @pytest.mark.parametrize("bits", [1, 5, 8, 15, 16, 17, 31])
 def test_packing(bits):
     ids = np.random.default_rng(0).integers(0, 2**bits, 1001).astype(np.uint32)
