@@ -5,7 +5,7 @@ counts meet all three targets; a document is then kept with a probability propor
 a hash, so expected tokens have the target shares exactly.
 
 Sources may be many: their counts and factors stay in a table, a row for each source, and a sweep is one aggregation over it.
-Languages and topics are few, and only sums over them, at most ``languages`` + 1 times the topics, reach the driver.
+Languages and topics are few, and only sums over them reach the driver; more than ``LANGUAGES`` languages are refused.
 """
 
 from __future__ import annotations
@@ -22,19 +22,22 @@ from spotlift.llm.shared import materialised
 TOPICS = (("tabular", r" \| "), ("licence", r"(?i)licen[sc]ed?\b"), ("contact", r"@|\[EMAIL\]"), ("figures", "[0-9]"), ("prose", ""))
 
 
+#: Sums of so many languages fit the driver, some 8 times the languages there are.
+LANGUAGES = 1 << 16
+
+
 @dataclass(frozen=True)
 class Targets:
     """Wanted shares of tokens by source, language and topic.
 
     A dimension without shares gets the tempered ones it has, its shares raised to ``temper`` and scaled to one, which lifts
-    the rare and lowers the frequent. Names without a given share have none. Languages after the ``languages`` largest count as one.
+    the rare and lowers the frequent. Names without a given share have none.
     """
 
     source: dict[str, float] = field(default_factory=dict)
     lang: dict[str, float] = field(default_factory=dict)
     topic: dict[str, float] = field(default_factory=dict)
     temper: float = 0.85
-    languages: int = 64
     sweeps: int = 100
     tolerance: float = 1e-7
     seed: int = 13
@@ -71,6 +74,11 @@ def _tempered(sums: dict[str, float], given: dict[str, float], temper: float) ->
     return {k: v / total for k, v in wanted.items()} if total else wanted
 
 
+def _doubles(values: np.ndarray) -> Column:
+    """``values`` as one constant, however many."""
+    return F.split(F.lit(",".join(map(repr, values.tolist()))), ",").cast("array<double>")
+
+
 @dataclass
 class Mix:
     """Factors: ``sources`` has ``source, factor``; languages and topics by name; ``most`` is the largest product of three."""
@@ -89,18 +97,16 @@ def rake(docs: DataFrame, targets: Targets = Targets()) -> Mix:
     """
     counted = _marked(docs).groupBy("source", "lang", "topic").agg(F.sum("n_tokens").cast("double").alias("n")).where("n > 0")
     counted = materialised(counted)
-    by_lang = counted.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(targets.languages).collect()
+    by_lang = counted.groupBy("lang").agg(F.sum("n").alias("n")).limit(LANGUAGES + 1).collect()
+    if len(by_lang) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages: the column lang holds something else")
     by_topic = counted.groupBy("topic").agg(F.sum("n").alias("n")).collect()
     total = sum(r["n"] for r in by_topic)
     if not total:
         empty = docs.sparkSession.createDataFrame([], "source string, factor double")
         return Mix(empty, {}, {}, 1.0, 0)
     langs = {r["lang"]: r["n"] for r in by_lang}
-    rest = total - sum(langs.values())
     names = sorted(langs)
-    if rest > 0.5:
-        langs["(other)"] = rest
-        names.append("(other)")
     topics = [t for t, _ in TOPICS]
     topic_sums = {r["topic"]: r["n"] for r in by_topic}
     want_l = _tempered(langs, targets.lang, targets.temper)
@@ -108,11 +114,9 @@ def rake(docs: DataFrame, targets: Targets = Targets()) -> Mix:
     goal_l = np.array([want_l[name] for name in names])
     goal_t = np.array([want_t.get(t, 0.0) for t in topics])
 
-    known = F.array(*[F.lit(n) for n in names])
-    place = F.array_position(known, F.col("lang")).cast("int")
-    place = F.when(place > 0, place).otherwise(len(names))
-    cell = ((place - 1) * len(topics) + F.array_position(F.array(*[F.lit(t) for t in topics]), F.col("topic")).cast("int")).alias("k")
-    cells = counted.groupBy("source", cell).agg(F.sum("n").alias("n"))
+    places = docs.sparkSession.createDataFrame([(name, i) for i, name in enumerate(names)], "lang string, place int")
+    cell = (F.col("place") * len(topics) + F.array_position(F.array(*[F.lit(t) for t in topics]), F.col("topic")).cast("int")).alias("k")
+    cells = counted.join(F.broadcast(places), "lang").groupBy("source", cell).agg(F.sum("n").alias("n"))
     wanted = F.map_from_entries(F.array(*[F.struct(F.lit(k), F.lit(float(v))) for k, v in targets.source.items()])) if targets.source else None
     power = F.coalesce(F.try_element_at(wanted, F.col("source")), F.lit(0.0)) if targets.source else F.pow(F.sum("n"), F.lit(targets.temper))
     sources = materialised(
@@ -124,7 +128,7 @@ def rake(docs: DataFrame, targets: Targets = Targets()) -> Mix:
 
     def with_factor() -> DataFrame:
         """``factor`` gives each source its wanted share under the factors of languages and topics."""
-        factors = F.array(*[F.lit(float(x)) for x in np.outer(lang_f, topic_f).ravel()])
+        factors = _doubles(np.outer(lang_f, topic_f).ravel())
         reach = F.aggregate("cells", F.lit(0.0), lambda s, c: s + c["n"] * F.element_at(factors, c["k"]))
         return sources.withColumn("factor", F.when(reach > 0, F.col("wanted") / F.lit(scale) / reach).otherwise(0.0))
 
@@ -143,19 +147,12 @@ def rake(docs: DataFrame, targets: Targets = Targets()) -> Mix:
         lang_f = np.where(reach > 0, goal_l / np.where(reach > 0, reach, 1), 0)
         reach = table.T @ lang_f
         topic_f = np.where(reach > 0, goal_t / np.where(reach > 0, reach, 1), 0)
-    factors = F.array(*[F.lit(float(x)) for x in np.outer(lang_f, topic_f).ravel()])
+    factors = _doubles(np.outer(lang_f, topic_f).ravel())
     final = materialised(with_factor())
     most = final.select(F.max(F.col("factor") * F.aggregate("cells", F.lit(0.0), lambda m, c: F.greatest(m, F.element_at(factors, c["k"]))))).first()[0]
     return Mix(final.select("source", "factor"), dict(zip(names, lang_f.tolist(), strict=True)), dict(zip(topics, topic_f.tolist(), strict=True)), most or 1.0, sweep)
 
 
-def _factor(column: str, factors: dict[str, float]) -> Column:
-    if not factors:
-        return F.lit(1.0)
-    listed = F.map_from_entries(F.array(*[F.struct(F.lit(k), F.lit(float(v))) for k, v in factors.items()]))
-    return F.coalesce(F.try_element_at(listed, F.col(column)), F.lit(float(factors.get("(other)", 0.0))))
-
-
 def drawn(docs: DataFrame, targets: Targets = Targets()) -> DataFrame:
     """``row`` (the columns of ``docs``), ``doc_id, source, lang, topic, n_tokens, probability, kept`` for every row.
 
@@ -164,10 +161,15 @@ def drawn(docs: DataFrame, targets: Targets = Targets()) -> DataFrame:
     """
     mix = rake(docs, targets)
     rows = _marked(docs).join(mix.sources.withColumnRenamed("factor", "_factor"), "source", "left")
-    product = F.coalesce("_factor", F.lit(0.0)) * _factor("lang", mix.lang) * _factor("topic", mix.topic) / F.lit(mix.most)
+    langs = docs.sparkSession.createDataFrame(list(mix.lang.items()), "lang string, _lang double")
+    rows = rows.join(F.broadcast(langs), "lang", "left")
+    topic = F.lit(0.0)
+    for name, factor in mix.topic.items():
+        topic = F.when(F.col("topic") == name, factor).otherwise(topic)
+    product = F.coalesce("_factor", F.lit(0.0)) * F.coalesce("_lang", F.lit(0.0)) * topic / F.lit(mix.most)
     chance = F.pmod(F.xxhash64("draw", F.lit(targets.seed)), F.lit(1 << 53)) / F.lit(float(1 << 53))
     probability = F.when(F.col("n_tokens") == 0, 1.0).otherwise(F.least(product, F.lit(1.0)))
-    return rows.withColumn("probability", probability).withColumn("kept", chance < F.col("probability")).drop("_factor", "draw")
+    return rows.withColumn("probability", probability).withColumn("kept", chance < F.col("probability")).drop("_factor", "_lang", "draw")
 
 
 def mixed(docs: DataFrame, targets: Targets = Targets()) -> DataFrame:

@@ -263,6 +263,26 @@ def test_raking_meets_the_targets(spark):
     assert abs(kept.n_tokens.sum() / total - 1) < 0.1
 
 
+def test_mixing_of_many_languages(spark):
+    """Shares of languages far down the ranks are met, given or tempered."""
+    sizes = {f"l{i:03}": 300 - 3 * i for i in range(90)}
+    rows = [(i, "word " * n, lang, "a") for i, (lang, n) in enumerate(sizes.items())]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    tempered = {k: n**0.85 for k, n in sizes.items()}
+    for wanted, targets in ((tempered, mixing.Targets()), ({"l000": 1, "l089": 1}, mixing.Targets(lang={"l000": 0.5, "l089": 0.5}))):
+        got = mixing.drawn(frame, targets).toPandas()
+        weight = dict(zip(got.lang, got.probability * got.n_tokens, strict=True))
+        assert {k: w / sum(weight.values()) for k, w in weight.items()} == pytest.approx({k: wanted.get(k, 0) / sum(wanted.values()) for k in sizes}, abs=1e-6)
+
+
+def test_mixing_refuses_languages_beyond_its_bound(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "LANGUAGES", 2)
+    frame = spark.createDataFrame([(i, "some words", f"l{i}", "a") for i in range(3)], "doc_id long, text string, lang string, source string")
+    assert mixing.drawn(frame.limit(2)).count() == 2
+    with pytest.raises(ValueError, match="languages"):
+        mixing.drawn(frame)
+
+
 def test_mixing_of_odd_rows(docs, none):
     assert mixing.mixed(docs).columns == docs.columns
     kept = {r["doc_id"] for r in mixing.mixed(docs).collect()}
