@@ -65,7 +65,8 @@ class PieceEncoder:
     Texts are cut between a byte that ends no white space and an ASCII blank, tab or line break; no match of the byte-level split
     pattern crosses such a place, so a text's ids are those of its pieces in turn. Pieces are told apart by 64-bit hashes.
     For the same reason new pieces are encoded together, as texts of about ``together`` bytes; the bytes that every id stands
-    for tell where a piece's ids end. Pieces at the border of a text need not begin or end at such a place and are encoded alone.
+    for tell where a piece's ids end. An added token like ``<|endoftext|>`` gets its own id, as the library gives by default; it holds
+    no blank and takes none of its surroundings, so no cut meets it. Pieces at the border of a text need not begin or end at such a place and are encoded alone.
     """
 
     #: Bytes of texts that are looked up at a time.
@@ -78,12 +79,13 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.most, self.together = most, together
         words = self.tokenizer.get_vocab(with_added_tokens=False)
-        self.width = np.zeros(1 + max(words.values(), default=0), np.int64)  # a byte is one character in the vocabulary
-        for word, number in words.items():
-            self.width[number] = len(word)
+        added = {number: len(token.content.encode()) for number, token in self.tokenizer.get_added_tokens_decoder().items()}
+        widths = {number: len(word) for word, number in words.items()} | added  # a byte is one character in the vocabulary
+        self.width = np.zeros(1 + max(widths, default=0), np.int64)
+        for number, width in widths.items():
+            self.width[number] = width
         rng = np.random.default_rng(77)
         self.values = rng.integers(1, 2**63, 256, dtype=np.uint64) | U(1)
         base = 0x9E3779B97F4A7C15

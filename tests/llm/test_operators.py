@@ -204,6 +204,23 @@ def test_pieces_encoded_together(most, together):
         assert ids.tolist() == [i for w in want for i in w]
 
 
+@pytest.mark.parametrize("together", [1 << 15, 16])
+def test_pieces_with_the_end_marker(together):
+    """Texts that hold the marker literally, against the library as it is."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(packed_tokens.Layout().tokenizer)
+    rng = np.random.default_rng(6)
+    marks = ["<|endoftext|>", " ", "  ", "\n", "\u3000", "word", "it's", "<|endoftext", "|>", "日本"]
+    texts = ["".join(rng.choice(marks, rng.integers(0, 30))).encode() for _ in range(300)]
+    encoder = packed_tokens.PieceEncoder(packed_tokens.Layout().tokenizer, together=together)
+    ids, sizes = encoder.encode(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]))
+    want = [tokenizer.encode(t.decode(), add_special_tokens=False).ids for t in texts]
+    assert sizes.tolist() == [len(w) for w in want]
+    assert ids.tolist() == [i for w in want for i in w]
+    assert 50256 in ids
+
+
 def test_pieces_around_very_long_rows(monkeypatch):
     """Rows longer than a step that share pieces, with ordinary rows between and after them."""
     monkeypatch.setattr(packed_tokens.PieceEncoder, "step", 100)
