@@ -18,6 +18,7 @@ from spotlift.llm import (
     substring_dedup,
     topk_search,
     toxicity,
+    url_filter,
 )
 from spotlift.llm.shared import table
 
@@ -65,6 +66,10 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.report(table(spark, folder, "documents"))
 
 
+def op11_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judged(table(spark, folder, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -83,6 +88,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_substring_dedup,
         op9_pii,
         op10_mixing,
+        op11_url_filter,
         pipeline,
     ]
     return {f.__name__: f for f in named}
@@ -97,8 +103,30 @@ def _reach(edges: str) -> str:
     parts AS (SELECT node, min(seen) AS component FROM reach GROUP BY node)"""
 
 
+def _term(term: str) -> str:
+    """SQL for whether a URL term stands alone in ``scanned``."""
+    return f"regexp_matches(scanned, '(^|[^a-z0-9]){term}([^a-z0-9]|$)')"
+
+
+def _url_sql(policy: url_filter.UrlPolicy) -> str:
+    rules = ", ".join("('{}', '{}', '{}')".format(*rule.split("/", 1), verdict) for rule, verdict in policy.rules)
+    weights = " + ".join(f"{weight} * {_term(term)}::INT" for term, weight in policy.soft.items())
+    strict = " OR ".join(_term(term) for term in policy.strict)
+    capitals = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+    return rf"""WITH rests AS (SELECT row_number() OVER () AS row_no, page_id, regexp_replace(translate(coalesce(url, ''), {capitals}), '%[0-9a-f]{{2}}', ' ', 'g') AS scanned,
+        CASE WHEN contains(url, '://') THEN url[position('://' IN url) + 3:] ELSE '' END AS rest FROM pages),
+    urls AS (SELECT row_no, page_id, scanned, translate(regexp_extract(rest, '^[^/?#]*'), {capitals}) AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rests),
+    rules(host, path, verdict) AS (VALUES {rules}),
+    fits AS (SELECT row_no, max_by(r.host || '/' || r.path, length(r.host || '/' || r.path) + length(r.host) / 1e6) AS rule,
+        max_by(r.verdict, length(r.host || '/' || r.path) + length(r.host) / 1e6) AS verdict
+        FROM urls u JOIN rules r ON ends_with('.' || u.host, '.' || r.host) AND starts_with(u.path, '/' || r.path) GROUP BY row_no)
+    SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN {strict} OR {weights} >= {policy.reject_at} THEN 'block' ELSE 'allow' END) AS verdict
+    FROM urls LEFT JOIN fits USING (row_no)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op11_url_filter": _url_sql(url_filter.UrlPolicy()),
         "op1_embedding_dedup": f"""WITH RECURSIVE vecs AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
         usable AS (SELECT * FROM vecs WHERE vec_id IS NOT NULL AND label IS NOT NULL AND v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
             AND len(list_filter(v, lambda x: x <> 0)) > 0),
