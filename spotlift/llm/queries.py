@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from spotlift.llm import (
     byte_bpe,
+    collocations,
     embedding_dedup,
     minhash_dedup,
     mixing,
@@ -70,6 +71,10 @@ def op11_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judged(table(spark, folder, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -89,6 +94,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_pii,
         op10_mixing,
         op11_url_filter,
+        op12_collocations,
         pipeline,
     ]
     return {f.__name__: f for f in named}
@@ -127,6 +133,23 @@ def _url_sql(policy: url_filter.UrlPolicy) -> str:
 def oracle_sql() -> dict[str, str]:
     return {
         "op11_url_filter": _url_sql(url_filter.UrlPolicy()),
+        "op12_collocations": rf"""WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+        lists AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+        places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM lists),
+        counts AS (SELECT lang, w[i] AS p, 1 AS size, count(*) AS f FROM places GROUP BY ALL
+            UNION ALL SELECT lang, array_to_string(w[i:i + 1], ' '), 2, count(*) FROM places WHERE i < len(w) GROUP BY ALL
+            UNION ALL SELECT lang, array_to_string(w[i:i + 2], ' '), 3, count(*) FROM places WHERE i + 1 < len(w) GROUP BY ALL),
+        totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE size = 1 GROUP BY lang),
+        cands AS (SELECT lang, p, size, f AS a, string_split(p, ' ') AS w FROM counts WHERE size > 1 AND f >= 10),
+        cuts AS (SELECT lang, p, size, a, k, array_to_string(w[:k], ' ') AS x, array_to_string(w[k + 1:], ' ') AS y FROM (SELECT *, unnest(range(1, size)) AS k FROM cands)),
+        scores AS (SELECT c.lang, c.p, c.size, c.a, c.k, x.f AS l, y.f AS r, ((1000000::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f))::BIGINT AS score
+            FROM cuts c JOIN counts x ON x.lang = c.lang AND x.p = c.x AND x.size = c.k JOIN counts y ON y.lang = c.lang AND y.p = c.y AND y.size = c.size - c.k),
+        lowest AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+        held AS (SELECT lang, inner_p, max(a) AS longer FROM (SELECT lang, a, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS inner_p FROM cands WHERE size = 3) GROUP BY ALL),
+        ranked AS (SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, p) AS rank, p AS phrase, a, l, r, score
+            FROM lowest s LEFT JOIN held h ON h.lang = s.lang AND inner_p = p WHERE size = 3 OR longer IS NULL OR 100 * longer < 50 * a)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000""",
         "op1_embedding_dedup": f"""WITH RECURSIVE vecs AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
         usable AS (SELECT * FROM vecs WHERE vec_id IS NOT NULL AND label IS NOT NULL AND v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
             AND len(list_filter(v, lambda x: x <> 0)) > 0),
