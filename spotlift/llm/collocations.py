@@ -6,6 +6,9 @@ shorter phrase starts exactly one window, its count is the sum over the windows
 gives the counts of all shorter phrases, and of all words of a language, without another pass over the texts or another
 explosion into n-grams.
 
+Windows hold words as numbers: every word has a 64-bit hash that no other word of the corpus has, and the most frequent ones have
+their rank instead, which makes the shuffled rows a third as long. Phrases get their words back at the end.
+
 Both aggregations combine on the map side, so a word, phrase or language that holds much of the corpus arrives as one row for each task.
 The counted windows are read twice from one shuffle. Only phrases with ``least`` occurrences go on: every part of such a
 phrase has at least as many, so all counts that a score needs are among them.
@@ -14,8 +17,10 @@ phrase has at least as many, so all counts that a score needs are among them.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spotlift.llm.shared import written
@@ -26,45 +31,115 @@ MILLION = 1_000_000
 
 @dataclass(frozen=True)
 class Phrases:
-    """``inside_percent``: a phrase is dropped where a longer one that holds it has this share of its occurrences."""
+    """``inside_percent``: a phrase is dropped where a longer one that holds it has this share of its occurrences. ``ranked_words`` bounds a broadcast, see
+    ``numbered_words``; it has no influence on results."""
 
     longest: int = 3
     least: int = 10
     inside_percent: int = 50
     per_lang: int = 2000
+    ranked_words: int = 1 << 20
 
 
 def _leads(longest: int) -> list[str]:
     return [f"w{i}" for i in range(1, longest + 1)]
 
 
-def windows(docs: DataFrame, longest: int) -> DataFrame:
-    """``lang, w1, w2, ...``: for every word the words from it on, null beyond the end of its piece."""
+def pieces(docs: DataFrame) -> DataFrame:
+    """``lang, words``: the words of every piece that has any."""
     # Piece by piece, so that a very long text is not held as windows at once.
-    pieces = docs.select(
+    cut = docs.select(
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
         F.explode(F.split(F.col("text").cast("string"), r"[.,;:!?\x0A-\x0D]")).alias("piece"),
     )
-    pieces = pieces.select("lang", lowered(F.trim(F.col("piece"), F.lit(" \t"))).alias("piece")).where("piece <> ''")
-    words = pieces.select("lang", F.split("piece", r"[\x20\x09]+").alias("w"))
-    leads = ", ".join(["w", *(f"slice(w, {i}, size(w))" for i in range(2, longest + 1))])
-    return words.selectExpr("lang", f"inline(arrays_zip({leads})) AS ({', '.join(_leads(longest))})")
+    words = F.array_remove(F.split(F.replace(lowered(F.col("piece")), F.lit("\t"), F.lit(" ")), " "), "")
+    return cut.select("lang", words.alias("words")).where("size(words) > 0")
 
 
-def phrase_counts(docs: DataFrame, phrases: Phrases = Phrases()) -> DataFrame:
-    """``lang, words, f`` for every phrase of up to ``longest`` words with ``least`` occurrences, and one row without words for all words."""
+@dataclass(frozen=True)
+class Numbers:
+    """Words as numbers, so that windows are short rows: ``seed`` gives every word a hash of its own, and ``ranks`` (``hash, rank``)
+    turns those of the most frequent words into small numbers, which compress well. ``vocabulary`` has ``word, hash, f``. ``complete`` tells
+    whether every word that occurs often enough to be in a phrase has a rank."""
+
+    seed: int
+    ranks: DataFrame
+    vocabulary: DataFrame
+    complete: bool
+
+    def name(self, words: str) -> Column:
+        return F.transform(words, lambda word: F.xxhash64(word, F.lit(self.seed)))
+
+
+def numbered_words(docs: DataFrame, least: int, most: int) -> Numbers:
+    """Counts all words, looks for a seed by which no two of them share a hash and none looks like a rank, and ranks the ``most`` frequent
+    ones with ``least`` occurrences.
+
+    A 64-bit hash is shared in a vocabulary of 10^8 words with a chance of 1 to 3,700; then the next seed is tried. Results do not depend on
+    the seed nor on ``most``, which bounds what is broadcast: 16 bytes for each ranked word.
+    """
+    counted = pieces(docs).select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("f"))
+    counted = written(counted, "words")
+    for seed in range(1, 100):
+        vocabulary = counted.withColumn("hash", F.xxhash64("word", F.lit(seed)))
+        if vocabulary.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where(f"n > 1 OR hash BETWEEN 1 AND {int(most)}").isEmpty():
+            break
+    else:
+        raise ValueError("no seed gives every word a hash of its own")
+    frequent = vocabulary.where(F.col("f") >= least)
+    first = frequent.orderBy(F.desc("f"), "hash").limit(most)  # short: Spark keeps the first rows of every task
+    ranks = first.select("hash", F.row_number().over(Window.orderBy(F.desc("f"), "hash")).cast("long").alias("rank"))
+    return Numbers(seed, written(ranks, "word-ranks"), vocabulary, frequent.count() <= most)
+
+
+def windows(docs: DataFrame, numbers: Numbers, longest: int) -> DataFrame:
+    """``lang, w1, w2, ...``: for every word the numbers of the words from it on, null beyond the end of its piece.
+
+    Where the ranks are complete, a word without one is too rare for any phrase: it ends a window like the end of a piece, and
+    windows that differ only behind it are one. Either way the counts of phrases that occur often enough are the same.
+    """
+    named = pieces(docs).select("lang", numbers.name("words").alias("w"))
+    leads = _leads(longest)
+    shifted = ", ".join(["w", *(f"slice(w, {i}, size(w))" for i in range(2, longest + 1))])
+    rows = named.selectExpr("lang", f"inline(arrays_zip({shifted})) AS ({', '.join(leads)})")
+    for lead in leads:
+        rank = F.broadcast(numbers.ranks.select(F.col("hash").alias(lead), F.col("rank").alias(f"{lead}_rank")))
+        rows = rows.join(rank, lead, "left")
+    number = {w: F.col(f"{w}_rank") if numbers.complete else F.coalesce(f"{w}_rank", w) for w in leads}
+    shown = []
+    for i, lead in enumerate(leads):
+        before = [number[w].isNotNull() for w in leads[:i]]
+        shown.append((F.when(reduce(and_, before), number[lead]) if before else number[lead]).alias(lead))
+    return rows.select("lang", *shown)
+
+
+def numbered_counts(docs: DataFrame, numbers: Numbers, phrases: Phrases) -> DataFrame:
+    """``lang, numbers, f`` for every phrase of up to ``longest`` words with ``least`` occurrences, and one row without words for all words."""
     leads = _leads(phrases.longest)
-    top = windows(docs, phrases.longest).groupBy("lang", *leads).agg(F.count(F.lit(1)).alias("n"))
+    top = windows(docs, numbers, phrases.longest).groupBy("lang", *leads).agg(F.count(F.lit(1)).alias("n"))
     # The condition hangs on the count, so that it stays above the shuffle and both branches read the same one.
     whole = F.when(F.col(leads[-1]).isNotNull(), F.col("n"))
-    full = top.where(whole >= phrases.least).select("lang", F.array(*leads).alias("words"), F.col("n").alias("f"))
+    full = top.where(whole >= phrases.least).select("lang", F.array(*leads).alias("numbers"), F.col("n").alias("f"))
     rolled = top.rollup("lang", *leads[:-1]).agg(F.sum("n").alias("f"), F.grouping_id().alias("left_out"))
     # grouping_id has a set bit for every column that is rolled up, from the last one on.
-    shown = F.when((F.col("left_out") == (1 << (phrases.longest - 1)) - 1), F.array().cast("array<string>"))
+    shown = F.when((F.col("left_out") == (1 << (phrases.longest - 1)) - 1), F.array().cast("array<bigint>"))
     for size in range(1, phrases.longest):
         usable = F.col(leads[size - 1]).isNotNull() & (F.col("f") >= phrases.least)
         shown = shown.when((F.col("left_out") == (1 << (phrases.longest - 1 - size)) - 1) & usable, F.array(*leads[:size]))
-    return full.unionByName(rolled.select("lang", shown.alias("words"), "f").where("words IS NOT NULL"))
+    return full.unionByName(rolled.select("lang", shown.alias("numbers"), "f").where("numbers IS NOT NULL"))
+
+
+def phrase_counts(docs: DataFrame, phrases: Phrases = Phrases()) -> DataFrame:
+    """``lang, words, f`` for every phrase of up to ``longest`` words with ``least`` occurrences, and one row without words for all words."""
+    numbers = numbered_words(docs, phrases.least, phrases.ranked_words)
+    counts = written(numbered_counts(docs, numbers, phrases), "numbered-phrases")
+    # Only words with enough occurrences are looked up: each is the one word of its number.
+    names = numbers.vocabulary.where(F.col("f") >= phrases.least).join(numbers.ranks, "hash", "left")
+    names = names.select(F.coalesce("rank", "hash").alias("number"), "word")
+    places = counts.select("lang", "numbers", "f", F.posexplode_outer("numbers").alias("at", "number")).join(names, "number", "left")
+    # At most ``longest`` rows make one phrase.
+    spelled = places.groupBy("lang", "numbers", "f").agg(F.sort_array(F.collect_list(F.when(F.col("at").isNotNull(), F.struct("at", "word")))).alias("spelled"))
+    return spelled.select("lang", F.col("spelled.word").alias("words"), "f")
 
 
 def scored_phrases(counts: DataFrame) -> DataFrame:

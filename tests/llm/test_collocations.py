@@ -49,7 +49,7 @@ def texts():
     return rows
 
 
-@pytest.mark.parametrize("phrases", [Phrases(), Phrases(longest=2, least=3), Phrases(longest=4, least=2, inside_percent=80, per_lang=7)])
+@pytest.mark.parametrize("phrases", [Phrases(), Phrases(longest=2, least=3), Phrases(longest=4, least=2, inside_percent=80, per_lang=7, ranked_words=4)])
 def test_phrases(spark, texts, phrases):
     docs = spark.createDataFrame([(lang, t, i, "clash", 1) for i, (lang, t) in enumerate(texts)], "lang string, text string, doc_id long, words string, w1 int")
     got = sorted(tuple(r) for r in collocations.collocations(docs, phrases).collect())
@@ -74,8 +74,9 @@ def test_large_counts_stay_exact(spark):
 def test_windows_are_counted_in_one_shuffle(spark, texts):
     """Both branches read the counted windows; only the rollup is shuffled besides."""
     docs = spark.createDataFrame(texts, "lang string, text string")
-    counts = collocations.phrase_counts(docs, Phrases())
-    assert {r["n"] for r in counts.groupBy("lang", "words").agg(F.count("*").alias("n")).collect()} == {1}
+    numbers = collocations.numbered_words(docs, 10, 5)
+    counts = collocations.numbered_counts(docs, numbers, Phrases())
+    assert {r["n"] for r in counts.groupBy("lang", "numbers").agg(F.count("*").alias("n")).collect()} == {1}
     rows = counts.collect()
     plan = counts._jdf.queryExecution().executedPlan().toString()
     assert rows and "ReusedExchange" in plan and "Expand" in plan
