@@ -15,6 +15,7 @@ from spotlift.llm import (
     mixing,
     packed_tokens,
     pii,
+    prefix_trie,
     quality,
     substring_dedup,
     topk_search,
@@ -75,6 +76,10 @@ def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocations(table(spark, folder, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.report(table(spark, folder, "conversations"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -95,6 +100,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op10_mixing,
         op11_url_filter,
         op12_collocations,
+        op13_prefix_trie,
         pipeline,
     ]
     return {f.__name__: f for f in named}
@@ -150,6 +156,21 @@ def oracle_sql() -> dict[str, str]:
         ranked AS (SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, p) AS rank, p AS phrase, a, l, r, score
             FROM lowest s LEFT JOIN held h ON h.lang = s.lang AND inner_p = p WHERE size = 3 OR longer IS NULL OR 100 * longer < 50 * a)
         SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000""",
+        "op13_prefix_trie": """WITH own AS (SELECT conv_id AS c, list({'r': coalesce(role, ''), 't': coalesce("text", '')}
+            ORDER BY turn NULLS FIRST, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce("text", ''))) AS s
+            FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+        heads AS (SELECT c, s, xor(list_reduce(list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT), lambda crc, byte:
+            list_reduce(range(8), lambda a, i: xor(a >> 1, 3988292384 * (a & 1)), xor(crc, byte)), 4294967295::BIGINT), 4294967295) % 6 AS h FROM own),
+        convs AS (SELECT a.c, list_concat(coalesce(b.s[:a.h], []), a.s[a.h + 1:]) AS s FROM heads a LEFT JOIN own b ON b.c = a.c - a.c % 100),
+        paths AS (SELECT c, d, len(s) AS n, sha256(s[:d]::VARCHAR) || d AS node, CASE WHEN d > 0 THEN sha256(s[:d - 1]::VARCHAR) || (d - 1) END AS parent,
+            CASE WHEN d > 0 THEN length(s[d].t) ELSE 0 END AS points FROM (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM convs)),
+        nodes AS (SELECT node, min(c) AS conv_id, d AS depth, any_value(parent) AS parent, count(*) AS n_convs, (count(*) - 1) * any_value(points) AS saved,
+            sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE n = d), '')) AS ends_sha256 FROM paths GROUP BY node, d),
+        kids AS (SELECT parent, count(*) AS k FROM nodes GROUP BY parent),
+        totals AS (SELECT p.node, sum(v.saved)::BIGINT AS saved_tokens, count(*) FILTER (WHERE k IS NULL) AS n_leaves
+            FROM nodes v LEFT JOIN kids ON kids.parent = v.node JOIN paths p ON p.c = v.conv_id AND p.d <= v.depth GROUP BY p.node)
+        SELECT n.conv_id, n.depth, up.conv_id AS parent_conv_id, n.n_convs, coalesce(k, 0) AS n_children, n_leaves, saved_tokens, n.ends_sha256
+        FROM nodes n LEFT JOIN nodes up ON up.node = n.parent LEFT JOIN kids ON kids.parent = n.node JOIN totals t ON t.node = n.node""",
         "op1_embedding_dedup": f"""WITH RECURSIVE vecs AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
         usable AS (SELECT * FROM vecs WHERE vec_id IS NOT NULL AND label IS NOT NULL AND v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
             AND len(list_filter(v, lambda x: x <> 0)) > 0),
