@@ -118,8 +118,9 @@ def _sign(config: MinHash):
                     pa.array([p[1] for p in prints], pa.int64()),
                     pa.array(signatures, pa.binary()),
                     pa.array(buckets, pa.list_(pa.int64())),
+                    batch.column(2),
                 ],
-                ["doc_id", "n_shingles", "print_a", "print_b", "signature", "buckets"],
+                ["doc_id", "n_shingles", "print_a", "print_b", "signature", "buckets", "text_key"],
             )
 
     return run
@@ -239,24 +240,26 @@ def _alike_sets(percent: int, least: int):
 
 
 def signed(docs: DataFrame, config: MinHash = MinHash()) -> DataFrame:
-    """For every row: set size, fingerprint of the set, signature and buckets; written to the shared folder."""
-    layout = "doc_id long, n_shingles long, print_a long, print_b long, signature binary, buckets array<long>"
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_sign(config), layout)
-    return written(rows, "minhash")
+    """For every row: set size, fingerprint of the set, signature, buckets and a hash of the text; written to the shared folder."""
+    layout = "doc_id long, n_shingles long, print_a long, print_b long, signature binary, buckets array<long>, text_key long"
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return written(rows.withColumn("text_key", F.xxhash64("text")).mapInArrow(_sign(config), layout), "minhash")
 
 
 def near_duplicates(docs: DataFrame, config: MinHash = MinHash()) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs`` (``doc_id`` and ``text`` are read).
 
     A null or empty text, or one of blanks only, has no shingles, links with nothing and is kept. Rows that repeat a ``doc_id`` are one
-    document with several texts: they share its component. A row without ``doc_id`` has no component and is kept.
+    document with several texts: they share its component. A row without ``doc_id`` has no component and is kept. However often a row or a
+    set is repeated, it is compared once.
     """
     marks = signed(docs, config)
     nodes = marks.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = nodes.groupBy("print_a", "print_b").agg(F.min("doc_id").alias("node"))
-    # One row for each class of equal sets stands for it.
-    first = nodes.join(classes, ["print_a", "print_b"]).where("doc_id = node")
-    first = written(first.select("node", "n_shingles", "signature", "buckets"), "minhash-classes")
+    classes = nodes.groupBy("print_a", "print_b").agg(F.min(F.struct(F.col("doc_id").alias("node"), F.col("text_key").alias("key"))).alias("least"))
+    classes = classes.select("print_a", "print_b", "least.node", F.col("least.key").alias("node_key"))
+    # One row for each class of equal sets stands for it, also where that row is repeated.
+    first = nodes.join(classes, ["print_a", "print_b"]).where("doc_id = node AND text_key = node_key").dropDuplicates(["print_a", "print_b"])
+    first = written(first.select("node", "text_key", "print_a", "print_b", "n_shingles", "signature", "buckets"), "minhash-classes")
     links = _confirmed(docs, first, config)
     # Several texts of one doc_id hang together, as do equal sets.
     same = nodes.join(classes, ["print_a", "print_b"]).where("doc_id <> node").select(
@@ -277,25 +280,28 @@ def near_duplicates(docs: DataFrame, config: MinHash = MinHash()) -> DataFrame:
 
 def _confirmed(docs: DataFrame, first: DataFrame, config: MinHash) -> DataFrame:
     """Links ``u, v`` between classes, as many as their components need, each confirmed on full sets."""
-    spread = first.select("node", F.explode("buckets").alias("bucket"))
+    prints = ["print_a", "print_b"]
+    spread = first.select("node", *prints, F.explode("buckets").alias("bucket"))
     shared = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     blocks = F.ceil(F.col("n") / config.bucket_block).alias("blocks")
-    members = spread.join(shared, "bucket").select("bucket", "node", blocks)
-    members = block_pairs(members.join(first.select("node", "signature"), "node"), "bucket", "node", "blocks")
+    members = spread.join(shared, "bucket").select("bucket", "node", *prints, blocks)
+    members = block_pairs(members.join(first.select(*prints, "signature"), prints), "bucket", "print_a", "blocks")
     keys = ["bucket", "bi", "bj"]
     dealt = members.select(*keys, "side", "node", "signature").repartition(*keys).sortWithinPartitions(*keys)
     likely = dealt.mapInArrow(_alike_signatures(config.least_agreement), "u long, v long")
 
     groups = connected_components(likely).withColumnRenamed("component", "grp")
-    sized = groups.join(first.select("node", "n_shingles"), "node")
+    sized = groups.join(first.select("node", "text_key", "n_shingles"), "node")
     sums = sized.groupBy("grp").agg(F.ceil(F.sum("n_shingles") / config.group_block).alias("blocks"))
-    wanted = sized.select("grp", "node").join(sums, "grp").distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string")).join(wanted, "node")
+    wanted = sized.select("grp", "node", "text_key").join(sums, "grp")
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string")).withColumn("text_key", F.xxhash64("text"))
+    # One text for each class; the join has dealt rows by these two columns already.
+    texts = texts.join(wanted, ["node", "text_key"]).dropDuplicates(["node", "text_key"])
     sets = texts.select("grp", "node", "blocks", "text").mapInArrow(
         _reshingle(config), "grp long, node long, blocks long, shingles binary, signature binary"
     )
     keys = ["grp", "bi", "bj"]
-    dealt = block_pairs(sets.where("signature IS NOT NULL"), "grp", "node", "blocks").select(*keys, "side", "node", "signature", "shingles")
+    dealt = block_pairs(sets.where("signature IS NOT NULL"), "grp", "signature", "blocks").select(*keys, "side", "node", "signature", "shingles")
     dealt = dealt.repartition(*keys).sortWithinPartitions(*keys)
     return dealt.mapInArrow(_alike_sets(config.percent, config.least_agreement), "u long, v long")
 
