@@ -88,8 +88,9 @@ def _cells(pivots: np.ndarray, reach: float):
                         part.column("weight").take(pa.array(row)),
                         part.column("embedding").take(pa.array(row)),
                         pa.array(home),
+                        part.column("class").take(pa.array(row)),
                     ],
-                    ["label", "cell", "vec_id", "weight", "embedding", "home"],
+                    ["label", "cell", "vec_id", "weight", "embedding", "home", "class"],
                 )
 
     return run
@@ -104,6 +105,8 @@ def _join_cell(cosine: float):
             home = group.column("home").to_numpy()
             order = np.lexsort((ids, ~home))  # those at home first
             ids, home = ids[order], home[order]
+            classes = group.column("class").to_numpy()[order]
+            crossing = group.column("bi")[0].as_py() != group.column("bj")[0].as_py()  # one of the two blocks may be empty
             side = group.column("side").to_numpy()[order]
             weight = group.column("weight").to_numpy()[order]
             rows = unit_rows(group.column("embedding"))[order]
@@ -114,7 +117,7 @@ def _join_cell(cosine: float):
                 here = np.arange(low, min(low + 512, inside))
                 alike = rows[here] @ rows.T >= cosine  # copies meet only those at home
                 alike[np.arange(len(here)), here] = False
-                if side.any():
+                if crossing:
                     alike &= side[here][:, None] != side
                 links[here] += alike @ weight
                 links[inside:] += weight[here] @ alike[:, inside:]
@@ -126,7 +129,8 @@ def _join_cell(cosine: float):
             np.minimum.at(least, forest.of, ids)
             linked = np.flatnonzero(links)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[linked]), pa.array(links[linked]), pa.array(least[forest.of[linked]])], ["vec_id", "links", "least"]
+                [pa.array(classes[linked]), pa.array(ids[linked]), pa.array(links[linked]), pa.array(least[forest.of[linked]])],
+                ["class", "vec_id", "links", "least"],
             )
 
     return run
@@ -146,7 +150,8 @@ def near_duplicates(vectors: DataFrame, config: RangeJoin = RangeJoin()) -> Data
     usable = finite & F.exists("embedding", lambda x: x != 0) & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
     rows = rows.withColumn("usable", F.coalesce(usable, F.lit(False)))
     classes = written(
-        rows.where("usable").groupBy("label", "embedding").agg(F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("weight")),
+        rows.where("usable").groupBy("label", "embedding").agg(F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("weight"))
+        .withColumn("class", F.monotonically_increasing_id()),  # one id can have several vectors, so it cannot name a class
         "vectors",
     )
     spread = classes.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / config.cell).alias("cells"))
@@ -154,23 +159,23 @@ def near_duplicates(vectors: DataFrame, config: RangeJoin = RangeJoin()) -> Data
     chosen = marked.where("cells > 1").orderBy(F.xxhash64("label", "vec_id"), "vec_id").select("embedding").limit(config.pivots).collect()
     pivots = unit_rows(pa.array([r["embedding"] for r in chosen], pa.list_(pa.float64()))) if chosen else np.zeros((0, 0))
     pivots = _apart(pivots, config)
-    cells = marked.select("label", "vec_id", "weight", "embedding", "cells").mapInArrow(
-        _cells(pivots, config.reach), "label string, cell long, vec_id long, weight long, embedding array<double>, home boolean"
+    cells = marked.select("label", "vec_id", "weight", "embedding", "cells", "class").mapInArrow(
+        _cells(pivots, config.reach), "label string, cell long, vec_id long, weight long, embedding array<double>, home boolean, class long"
     )
     cells = written(cells, "cells")
     sizes = cells.groupBy("label", "cell").agg(F.ceil(F.count(F.lit(1)) / config.block).alias("blocks"))
-    dealt = block_pairs(cells.join(sizes, ["label", "cell"]), "cell", "vec_id", "blocks")
+    dealt = block_pairs(cells.join(sizes, ["label", "cell"]), "cell", "class", "blocks")
     keys = ["label", "cell", "bi", "bj"]
-    dealt = dealt.select(*keys, "side", "vec_id", "weight", "embedding", "home").repartition(*keys).sortWithinPartitions(*keys)
-    found = written(dealt.mapInArrow(_join_cell(config.cosine), "vec_id long, links long, least long"), "vector-links")
+    dealt = dealt.select(*keys, "side", "vec_id", "weight", "embedding", "home", "class").repartition(*keys).sortWithinPartitions(*keys)
+    found = written(dealt.mapInArrow(_join_cell(config.cosine), "class long, vec_id long, links long, least long"), "vector-links")
     same = rows.where("usable").join(classes.withColumnRenamed("vec_id", "first"), ["label", "embedding"])
-    members = written(same.select("vec_id", "first", "weight"), "vector-classes")
+    members = written(same.select("vec_id", "first", "class", "weight"), "vector-classes")
     edges = found.select(F.col("vec_id").alias("u"), F.col("least").alias("v"))
     edges = edges.unionByName(members.where("vec_id <> first").select(F.col("vec_id").alias("u"), F.col("first").alias("v")))
     parts = connected_components(edges).withColumnRenamed("node", "vec_id")
-    links = found.groupBy(F.col("vec_id").alias("first")).agg(F.sum("links").alias("links"))
+    links = found.groupBy("class").agg(F.sum("links").alias("links"))
     # A vector's links: those of its class to other classes, and the other members of the class.
-    linked = members.join(links, "first", "left").select("vec_id", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
+    linked = members.join(links, "class", "left").select("vec_id", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
     linked = linked.unionByName(rows.where("NOT usable").select("vec_id", F.lit(0).cast("long").alias("n_links")))
     return linked.join(parts, "vec_id", "left").select(
         "vec_id",
