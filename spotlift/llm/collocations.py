@@ -129,43 +129,40 @@ def numbered_counts(docs: DataFrame, numbers: Numbers, phrases: Phrases) -> Data
     return full.unionByName(rolled.select("lang", shown.alias("numbers"), "f").where("numbers IS NOT NULL"))
 
 
-def phrase_counts(docs: DataFrame, phrases: Phrases = Phrases()) -> DataFrame:
-    """``lang, words, f`` for every phrase of up to ``longest`` words with ``least`` occurrences, and one row without words for all words."""
-    numbers = numbered_words(docs, phrases.least, phrases.ranked_words)
-    counts = written(numbered_counts(docs, numbers, phrases), "numbered-phrases")
-    # Only words with enough occurrences are looked up: each is the one word of its number.
-    names = numbers.vocabulary.where(F.col("f") >= phrases.least).join(numbers.ranks, "hash", "left")
+def spelled(rows: DataFrame, numbers: Numbers, least: int) -> DataFrame:
+    """``rows`` with the text ``phrase`` instead of ``numbers``. Only words with enough occurrences are looked up: each is the one word of its number."""
+    names = numbers.vocabulary.where(F.col("f") >= least).join(numbers.ranks, "hash", "left")
     names = names.select(F.coalesce("rank", "hash").alias("number"), "word")
-    places = counts.select("lang", "numbers", "f", F.posexplode_outer("numbers").alias("at", "number")).join(names, "number", "left")
+    places = rows.select("*", F.posexplode("numbers").alias("at", "number")).join(names, "number")
     # At most ``longest`` rows make one phrase.
-    spelled = places.groupBy("lang", "numbers", "f").agg(F.sort_array(F.collect_list(F.when(F.col("at").isNotNull(), F.struct("at", "word")))).alias("spelled"))
-    return spelled.select("lang", F.col("spelled.word").alias("words"), "f")
+    words = F.sort_array(F.collect_list(F.struct("at", "word")))
+    return places.groupBy(*rows.columns).agg(F.array_join(words["word"], " ").alias("phrase")).drop("numbers")
 
 
 def scored_phrases(counts: DataFrame) -> DataFrame:
-    """Candidates with ``a, l, r, score`` of their lowest-scoring cut; of equal scores the earliest.
+    """``lang, numbers`` of the candidates among ``lang, numbers, f`` with ``a, l, r, score`` of their lowest-scoring cut; of equal scores the earliest.
 
     Whole numbers of 38 digits are used, so a product is exact or, for counts beyond 3 * 10^15, an error. A word that begins
     or ends very many phrases is a hot key on one side only; adaptive execution splits it.
     """
-    cuts = counts.where("size(words) > 1").select("lang", "words", F.col("f").alias("a"), F.explode(F.expr("sequence(1, size(words) - 1)")).alias("k"))
-    cuts = cuts.withColumn("first", F.expr("slice(words, 1, k)")).withColumn("rest", F.expr("slice(words, k + 1, size(words) - k)"))
-    parts = counts.where("size(words) > 0")
-    cuts = cuts.join(parts.select("lang", F.col("words").alias("first"), F.col("f").alias("l")), ["lang", "first"])
-    cuts = cuts.join(parts.select("lang", F.col("words").alias("rest"), F.col("f").alias("r")), ["lang", "rest"])
+    cuts = counts.where("size(numbers) > 1").select("lang", "numbers", F.col("f").alias("a"), F.explode(F.expr("sequence(1, size(numbers) - 1)")).alias("k"))
+    cuts = cuts.withColumn("first", F.expr("slice(numbers, 1, k)")).withColumn("rest", F.expr("slice(numbers, k + 1, size(numbers) - k)"))
+    parts = counts.where("size(numbers) > 0")
+    cuts = cuts.join(parts.select("lang", F.col("numbers").alias("first"), F.col("f").alias("l")), ["lang", "first"])
+    cuts = cuts.join(parts.select("lang", F.col("numbers").alias("rest"), F.col("f").alias("r")), ["lang", "rest"])
     wide = "cast({} AS decimal(19, 0))".format
     score = f"(cast({MILLION} AS decimal(7, 0)) * {wide('a')} * {wide('a')}) div ({wide('l')} * {wide('r')})"
     cut = F.struct(F.expr(score).alias("score"), "k", "l", "r")
-    lowest = cuts.groupBy("lang", "words", "a").agg(F.min(cut).alias("cut"))
-    return lowest.select("lang", "words", "a", "cut.l", "cut.r", "cut.score")
+    lowest = cuts.groupBy("lang", "numbers", "a").agg(F.min(cut).alias("cut"))
+    return lowest.select("lang", "numbers", "a", "cut.l", "cut.r", "cut.score")
 
 
 def held_by_longer(counts: DataFrame) -> DataFrame:
-    """``lang, words, longer``: for every phrase inside a longer candidate the occurrences of the most frequent such one."""
-    longer = counts.where("size(words) > 2").withColumn("size", F.explode(F.expr("sequence(2, size(words) - 1)")))
-    longer = longer.withColumn("at", F.explode(F.expr("sequence(1, size(words) - size + 1)")))
-    inner = longer.select("lang", F.expr("slice(words, at, size)").alias("words"), "f")
-    return inner.groupBy("lang", "words").agg(F.max("f").alias("longer"))
+    """``lang, numbers, longer``: for every phrase inside a longer candidate the occurrences of the most frequent such one."""
+    longer = counts.where("size(numbers) > 2").withColumn("size", F.explode(F.expr("sequence(2, size(numbers) - 1)")))
+    longer = longer.withColumn("at", F.explode(F.expr("sequence(1, size(numbers) - size + 1)")))
+    inner = longer.select("lang", F.expr("slice(numbers, at, size)").alias("numbers"), "f")
+    return inner.groupBy("lang", "numbers").agg(F.max("f").alias("longer"))
 
 
 def collocations(docs: DataFrame, phrases: Phrases = Phrases()) -> DataFrame:
@@ -175,13 +172,16 @@ def collocations(docs: DataFrame, phrases: Phrases = Phrases()) -> DataFrame:
     score, then occurrences, both falling, then the phrase by its bytes. A null language is ``und``; a null or empty text, or one of blanks
     and punctuation only, has no words; repeated rows count again. A table without words gives no rows.
     """
-    counts = written(phrase_counts(docs, phrases), "phrases")
+    numbers = numbered_words(docs, phrases.least, phrases.ranked_words)
+    counts = written(numbered_counts(docs, numbers, phrases), "phrases")
     held = held_by_longer(counts)
-    free = scored_phrases(counts).join(held, ["lang", "words"], "left")
+    free = scored_phrases(counts).join(held, ["lang", "numbers"], "left")
     free = free.where(f"longer IS NULL OR 100 * longer < {int(phrases.inside_percent)} * a")
-    ranked = free.select("lang", F.array_join("words", " ").alias("phrase"), "a", "l", "r", "score")
-    best_first = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
+    # Numbers become words again only where a phrase can still be among the first: equal scores stay until their texts decide.
+    fit = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
     # Spark keeps the first rows of a language within each task before it brings them together.
-    first = ranked.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= phrases.per_lang)
-    totals = counts.where("size(words) = 0").select("lang", F.col("f").alias("n"))
+    near = free.drop("longer").withColumn("near", F.rank().over(fit)).where(F.col("near") <= phrases.per_lang).drop("near")
+    best_first = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
+    first = spelled(near, numbers, phrases.least).withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= phrases.per_lang)
+    totals = counts.where("size(numbers) = 0").select("lang", F.col("f").alias("n"))
     return first.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")

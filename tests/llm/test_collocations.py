@@ -66,8 +66,8 @@ def test_no_rows(spark):
 
 def test_large_counts_stay_exact(spark):
     big = 3_000_000_000_000_000
-    rows = [("en", ["a", "b"], big), ("en", ["a"], big + 1), ("en", ["b"], big), ("en", [], 9 * big)]
-    counts = spark.createDataFrame(rows, "lang string, words array<string>, f long")
+    rows = [("en", [1, 2], big), ("en", [1], big + 1), ("en", [2], big), ("en", [], 9 * big)]
+    counts = spark.createDataFrame(rows, "lang string, numbers array<long>, f long")
     assert [tuple(r) for r in collocations.scored_phrases(counts).select("a", "l", "r", "score").collect()] == [(big, big + 1, big, 999_999)]
 
 
