@@ -62,17 +62,18 @@ def unpack(data: bytes, bits: int, count: int) -> np.ndarray:
 class PieceEncoder:
     """Ids of whole texts from the library's ids of their pieces, each different piece encoded once.
 
-    Texts are cut between a byte that ends no white space and an ASCII blank, tab or line break; no match of the byte-level split
-    pattern crosses such a place, so a text's ids are those of its pieces in turn. Pieces are told apart by 64-bit hashes.
-    For the same reason new pieces are encoded together, as texts of about ``together`` bytes; the bytes that every id stands
+    Texts are cut between a byte that ends no white space and an ASCII blank, tab or line break, and between an ASCII letter and a point,
+    comma or the like; no match of the byte-level split pattern crosses such a place, so a text's ids are those of its pieces in turn.
+    Pieces are told apart by 64-bit hashes, kept in sorted arrays. For the same reason new pieces are encoded together, as texts of about ``together`` bytes; the bytes that every id stands
     for tell where a piece's ids end. An added token like ``<|endoftext|>`` gets its own id, as the library gives by default; it holds
-    no blank and takes none of its surroundings, so no cut meets it. Pieces at the border of a text need not begin or end at such a place and are encoded alone.
+    none of the signs that a cut lies before and takes none of its surroundings, so no cut meets it. Pieces that begin or end at the border of
+    a text, or begin with a point or the like, could run into their neighbours and are encoded alone.
     """
 
     #: Bytes of texts that are looked up at a time.
     step = 4 * STEP
 
-    def __init__(self, path: str, most: int = 1 << 20, together: int = 1 << 15):
+    def __init__(self, path: str, most: int = 1 << 21, together: int = 1 << 15):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -93,13 +94,17 @@ class PieceEncoder:
         self.inverse = np.cumprod(np.concatenate([[U(1)], np.full(2 * self.step, U(pow(base, -1, 2**64)))]), dtype=U)
         self.blank = np.zeros(256, bool)
         self.blank[[0x20, 0x09, 0x0A, 0x0D]] = True
+        self.letter, self.mark = np.zeros(256, bool), np.zeros(256, bool)
+        self.letter[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+        self.mark[list(b".,;:!?)")] = True
         self.solid = np.zeros(256, bool)
         self.solid[0x21:0x7F] = True
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[int, int] = {}
-        self.slots = 0  # handed out; names can leave ``known``, their slots are not used again
+        """Names, sorted, with their slots; a slot's ids are ``flat[begin : begin + size]``."""
+        self.names, self.slot_of = np.zeros(0, U), np.zeros(0, np.int64)
+        self.slots = 0  # handed out
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
         self.begin, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
@@ -118,7 +123,7 @@ class PieceEncoder:
     def _cuts(self, part: np.ndarray, ends: np.ndarray, rows: np.ndarray) -> np.ndarray:
         """Where pieces begin: at every row, and at safe places inside."""
         begins = np.zeros(len(part), bool)
-        begins[1:] = self.blank[part[1:]] & ends[:-1]
+        begins[1:] = self.blank[part[1:]] & ends[:-1] | self.mark[part[1:]] & self.letter[part[:-1]]
         begins[rows[rows < len(part)]] = True
         return np.flatnonzero(begins)
 
@@ -142,15 +147,18 @@ class PieceEncoder:
                 return ids, np.diff(last + 1, prepend=0)
         return self._alone(pieces)  # bytes that are no text, or a tokenizer that changes texts
 
-    def _learn(self, part: np.ndarray, solid: np.ndarray, names: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+    def _learn(self, part: np.ndarray, solid: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Slots of new pieces."""
+        slots = np.zeros(len(starts), np.int64)
         inner = self.blank[part[starts]] & solid[ends - 1]
         for which, encoded in ((inner, self._joined), (~inner, self._alone)):
             if which.any():
                 data = part.tobytes()
                 pieces = [data[a:b] for a, b in zip(starts[which].tolist(), ends[which].tolist(), strict=True)]
-                self._keep(names[which], *encoded(pieces))
+                slots[which] = self._keep(*encoded(pieces))
+        return slots
 
-    def _keep(self, names: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+    def _keep(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         count = self.slots
         while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
@@ -162,7 +170,32 @@ class PieceEncoder:
         self.size[count : count + len(sizes)] = sizes
         self.used += len(ids)
         self.slots += len(sizes)
-        self.known.update(zip(names.tolist(), range(count, count + len(sizes)), strict=True))
+        return np.arange(count, self.slots)
+
+    def _found(self, part: np.ndarray, solid: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Slots of pieces, known ones by their names."""
+        sums = np.concatenate([[U(0)], np.cumsum(self.values[part] * self.power[: len(part)], dtype=U)])
+        hashes = mix((sums[ends] - sums[starts]) * self.inverse[starts] + (ends - starts).astype(U))
+        names, first, turn = np.unique(hashes, return_index=True, return_inverse=True)
+        place = np.searchsorted(self.names, names)
+        slots = np.full(len(names), -1)
+        inside = np.flatnonzero(place < len(self.names))
+        inside = inside[self.names[place[inside]] == names[inside]]
+        slots[inside] = self.slot_of[place[inside]]
+        new = np.flatnonzero(slots < 0)
+        if len(new):
+            slots[new] = self._learn(part, solid, starts[first[new]], ends[first[new]])
+            self.names = np.insert(self.names, place[new], names[new])
+            self.slot_of = np.insert(self.slot_of, place[new], slots[new])
+        return slots[turn]
+
+    def _found_apart(self, part: np.ndarray, solid: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Slots of the pieces of a very long row, told apart by their bytes and not kept by name."""
+        whole = part.tobytes()
+        numbers: dict[bytes, int] = {}
+        turn = np.array([numbers.setdefault(whole[a:b], len(numbers)) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
+        first = np.unique(turn, return_index=True)[1]
+        return self._learn(part, solid, starts[first], ends[first])[turn]
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the rows that ``offsets`` bound, one after the other, and the number of each row's."""
@@ -174,24 +207,8 @@ class PieceEncoder:
         solid = self._ends(part)
         starts = self._cuts(part, solid, rows[:-1])
         ends = np.append(starts[1:], len(part))
-        if len(part) < len(self.power):
-            sums = np.concatenate([[U(0)], np.cumsum(self.values[part] * self.power[: len(part)], dtype=U)])
-            hashes = mix((sums[ends] - sums[starts]) * self.inverse[starts] + (ends - starts).astype(U))
-            names, first, place = np.unique(hashes, return_index=True, return_inverse=True)
-        else:  # a very long row; its pieces are told apart by their bytes
-            whole = part.tobytes()
-            numbers: dict[bytes, int] = {}
-            place = np.array([numbers.setdefault(whole[a:b], len(numbers)) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
-            first = np.unique(place, return_index=True)[1]
-            names = np.array([hash(piece) & (2**63 - 1) | 2**63 for piece in numbers], U)
-            for name in names.tolist():  # not to be mixed up with hashes of another kind
-                self.known.pop(name, None)
-        slots = np.array([self.known.get(n, -1) for n in names.tolist()])
-        new = np.flatnonzero(slots < 0)
-        if len(new):
-            self._learn(part, solid, names[new], starts[first[new]], ends[first[new]])
-            slots[new] = [self.known[n] for n in names[new].tolist()]
-        slots = slots[place]
+        short = len(part) < len(self.power)
+        slots = (self._found if short else self._found_apart)(part, solid, starts, ends)
         sizes = self.size[slots]
         total = np.concatenate([[0], np.cumsum(sizes)])
         ids = self.flat[np.repeat(self.begin[slots] - total[:-1], sizes) + np.arange(total[-1])]
@@ -199,6 +216,19 @@ class PieceEncoder:
         return ids, np.diff(border)
 
 
+def worker_encoder(path: str) -> PieceEncoder:
+    """The encoder of this Python process, with the pieces that earlier tasks have learnt.
+
+    Functions reach workers by value, with a module of their own each time, so it is kept with the library's module.
+    """
+    import tokenizers
+
+    kept = tokenizers.__dict__.setdefault("_spotlift_encoders", {})
+    if path not in kept:
+        kept[path] = PieceEncoder(path)
+    return kept[path]
+
+
 def file_bytes(doc_ids: list[int | None], counts: np.ndarray, ids: np.ndarray, bits: int, block: int) -> bytes:
     packed = [pack(ids[a : a + block], bits) for a in range(0, len(ids), block)]
     offsets = np.concatenate([[0], np.cumsum([len(p) for p in packed])]).astype("<u8")
@@ -245,7 +275,7 @@ class TokenFile:
 
 def _write(layout: Layout, folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(layout.tokenizer)
+        encoder = worker_encoder(layout.tokenizer)
         bits = max(1, (encoder.tokenizer.get_vocab_size() - 1).bit_length())
         context = TaskContext.get()
         part, attempt = context.partitionId(), context.taskAttemptId()
