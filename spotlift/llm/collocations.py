@@ -27,6 +27,8 @@ from spotlift.llm.shared import written
 from spotlift.llm.url_filter import lowered
 
 MILLION = 1_000_000
+#: Ranks are below 2^21, so that three of them share a column.
+RANK_BITS = 21
 
 
 @dataclass(frozen=True)
@@ -86,6 +88,8 @@ def numbered_words(docs: DataFrame, least: int, most: int) -> Numbers:
             break
     else:
         raise ValueError("no seed gives every word a hash of its own")
+    if most >= 1 << RANK_BITS:
+        raise ValueError(f"at most {(1 << RANK_BITS) - 1} words can have a rank")
     frequent = vocabulary.where(F.col("f") >= least)
     first = frequent.orderBy(F.desc("f"), "hash").limit(most)  # short: Spark keeps the first rows of every task
     ranks = first.select("hash", F.row_number().over(Window.orderBy(F.desc("f"), "hash")).cast("long").alias("rank"))
@@ -113,14 +117,35 @@ def windows(docs: DataFrame, numbers: Numbers, longest: int) -> DataFrame:
     return rows.select("lang", *shown)
 
 
+def _packed(leads: list[str], per_key: int) -> list[Column]:
+    """The numbers of a window in fewer columns: ranks need ``RANK_BITS`` each, and nulls become zero. Whole hashes keep a column each."""
+    if per_key == 1:
+        return [F.col(w).alias(f"key{i}") for i, w in enumerate(leads)]
+    shifted = [F.shiftleft(F.coalesce(w, F.lit(0).cast("long")), RANK_BITS * (i % per_key)) for i, w in enumerate(leads)]
+    return [reduce(lambda x, y: x.bitwiseOR(y), shifted[i : i + per_key]).alias(f"key{i // per_key}") for i in range(0, len(leads), per_key)]
+
+
+def _unpacked(leads: list[str], per_key: int) -> list[Column]:
+    if per_key == 1:
+        return [F.col(f"key{i}").alias(w) for i, w in enumerate(leads)]
+    mask = F.lit((1 << RANK_BITS) - 1).cast("long")
+    parts = [F.shiftright(f"key{i // per_key}", RANK_BITS * (i % per_key)).bitwiseAND(mask) for i in range(len(leads))]
+    return [F.nullif(part, F.lit(0).cast("long")).alias(w) for part, w in zip(parts, leads, strict=True)]
+
+
 def numbered_counts(docs: DataFrame, numbers: Numbers, phrases: Phrases) -> DataFrame:
     """``lang, numbers, f`` for every phrase of up to ``longest`` words with ``least`` occurrences, and one row without words for all words."""
     leads = _leads(phrases.longest)
-    top = windows(docs, numbers, phrases.longest).groupBy("lang", *leads).agg(F.count(F.lit(1)).alias("n"))
+    per_key = 63 // RANK_BITS if numbers.complete else 1
+    keys = _packed(leads, per_key)
+    top = windows(docs, numbers, phrases.longest).select("lang", *keys)
+    top = top.groupBy(*top.columns).agg(F.count(F.lit(1)).alias("n")).select("lang", *_unpacked(leads, per_key), "n")
     # The condition hangs on the count, so that it stays above the shuffle and both branches read the same one.
     whole = F.when(F.col(leads[-1]).isNotNull(), F.col("n"))
     full = top.where(whole >= phrases.least).select("lang", F.array(*leads).alias("numbers"), F.col("n").alias("f"))
-    rolled = top.rollup("lang", *leads[:-1]).agg(F.sum("n").alias("f"), F.grouping_id().alias("left_out"))
+    rolled = docs.sparkSession.sql(
+        f"SELECT lang, {', '.join(leads[:-1])}, sum(n) AS f, grouping_id() AS left_out FROM {{top}} GROUP BY lang, ROLLUP({', '.join(leads[:-1])})", top=top
+    )
     # grouping_id has a set bit for every column that is rolled up, from the last one on.
     shown = F.when((F.col("left_out") == (1 << (phrases.longest - 1)) - 1), F.array().cast("array<bigint>"))
     for size in range(1, phrases.longest):
