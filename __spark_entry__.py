@@ -66,7 +66,7 @@ def _damaged_dq_frame(t: RetailTables) -> DataFrame:
 
 
 def _damaged_pk_checks(t: RetailTables) -> DataFrame:
-    return union_all([qa_report.key_checks(t.damaged(s.table), s.table, s.key) for s in RAW_SOURCES])
+    return qa_report.key_checks([(s.table, t.damaged(s.table), s.key) for s in RAW_SOURCES])
 
 
 def _raw_minimum_rows(t: RetailTables) -> DataFrame:
@@ -99,7 +99,7 @@ def _pk_checks(t: RetailTables) -> DataFrame:
         ("raw.sessions", t.raw_sessions, "session_id"),
         ("raw.odec_mapping", t.raw_channels, "channel_id"),
     ]
-    return union_all([qa_report.key_checks(df, table, key) for table, df, key in keys])
+    return qa_report.key_checks(keys)
 
 
 def _rates(t: RetailTables) -> DataFrame:
@@ -132,6 +132,10 @@ def _feature_scaling(t: RetailTables) -> DataFrame:
     return stats.select("feature", F.round("mean", 6).alias("mean"), F.round("std_pop", 6).alias("std_pop"))
 
 
+def _expanded_candidates(t: RetailTables) -> DataFrame:
+    return marts.expanded_candidates(marts.candidate_ranges(t.sessions, t.spots), t.sessions)
+
+
 def _incremental_lift(t: RetailTables) -> DataFrame:
     lift = f"{lift_pct('pre_spot_sessions', 'post_spot_sessions')} AS incremental_lift_pct"
     return t.pre_post.selectExpr("spot_id", "pre_spot_sessions", "post_spot_sessions", lift)
@@ -154,6 +158,8 @@ def _reference_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "table_row_counts": lambda t: row_counts(t.raw_tables),
             # attribution and marts
             "session_spot_candidates": lambda t: t.candidates,
+            "session_spot_ranges": lambda t: marts.candidate_ranges(t.sessions, t.spots).ranges,
+            "session_spot_candidates_expanded": _expanded_candidates,
             "attributed_sessions": lambda t: t.attributed,
             "attributed_sessions_asof": lambda t: t.nearest,
             "pre_post_spot_sessions": lambda t: t.pre_post,
@@ -239,6 +245,16 @@ pairs AS (
     SELECT v.*, spot_id, campaign_id, channel_id, spot_ts, spot_date, grp_value,
            date_diff('minute', spot_ts, session_ts) AS minutes_after_spot
     FROM visits v JOIN spots ON session_ts >= spot_ts AND session_ts <= spot_ts + INTERVAL 15 MINUTE)"""
+# Buckets of 15 minutes count from the year 1; 69,039,552 of them lie before 1970.
+_RANGES = """
+times AS (SELECT DISTINCT session_ts, CAST(floor(epoch(session_ts) / 900) AS BIGINT) + 69039552 AS b FROM visits WHERE session_ts IS NOT NULL),
+placed AS (SELECT spot_ts, CAST(floor(epoch(spot_ts) / 900) AS BIGINT) + 69039552 AS bucket FROM spots WHERE spot_ts IS NOT NULL),
+ranges AS (
+    SELECT session_ts, bucket, count(*) FILTER (spot_ts < session_ts - INTERVAL 15 MINUTE) AS first, count(*) AS until
+    FROM times JOIN placed ON bucket = b - 1 GROUP BY ALL
+    UNION ALL
+    SELECT session_ts, bucket, 0 AS first, count(*) FILTER (spot_ts <= session_ts) AS until
+    FROM times JOIN placed ON bucket = b GROUP BY ALL)"""
 _BEST = """
 best AS (
     SELECT *, CAST(row_number() OVER pick AS BIGINT) AS attribution_rank FROM pairs
@@ -527,6 +543,8 @@ def _reference_sql() -> dict[str, str]:
             _RAW, _counted("SELECT '{table}' AS table_name, count(*) AS row_count FROM {frame}")
         ),
         "session_spot_candidates": _sql([_SPOTS, _SESSIONS, _PAIRS], "SELECT * FROM pairs"),
+        "session_spot_candidates_expanded": _sql([_SPOTS, _SESSIONS, _PAIRS], "SELECT * FROM pairs"),
+        "session_spot_ranges": _sql([_SPOTS, _SESSIONS, _RANGES], "SELECT * FROM ranges WHERE first < until"),
         "attributed_sessions": _sql(_TO_BEST, "SELECT * FROM best"),
         "attributed_sessions_asof": _sql(_TO_BEST, "SELECT * EXCLUDE (attribution_rank) FROM best"),
         "pre_post_spot_sessions": _sql(

@@ -43,7 +43,7 @@ def _probes(anchors: DataFrame, anchor_ts: str, window_s: int) -> DataFrame:
     )
 
 
-def _instants(points: DataFrame, point_ts: str) -> DataFrame:
+def instants_of(points: DataFrame, point_ts: str) -> DataFrame:
     """``(at, sec, n)``: points per instant.
 
     Grouping by the second as well changes nothing in the result, but both uses of the frame
@@ -57,14 +57,10 @@ def _instants(points: DataFrame, point_ts: str) -> DataFrame:
     )
 
 
-def counts_around(
-    anchors: DataFrame, points: DataFrame, anchor_ts: str, point_ts: str, window_s: int
-) -> DataFrame:
-    """``(anchor_ts, before, after)`` per distinct anchor instant; both window ends count,
-    and a point at the very instant counts on both sides."""
-    probes = _probes(anchors, anchor_ts, window_s)
-    instants = _instants(points, point_ts)
-
+def running_counts(probes: DataFrame, instants: DataFrame, window_s: int) -> DataFrame:
+    """Columns of ``probes`` (``at``, ``sec``, ``kind`` and others) with ``reading``, the points since the start of the probe's bucket, and
+    ``total``, those of the whole bucket. ``instants`` has ``at, sec, n``."""
+    columns = probes.columns
     in_order = "(PARTITION BY sec ORDER BY at, kind ROWS UNBOUNDED PRECEDING)"
     in_slice = (
         probes.unionByName(instants.selectExpr("*", "1 AS kind"), allowMissingColumns=True)
@@ -83,13 +79,16 @@ def counts_around(
             "sec", f"coalesce(sum(n) OVER {earlier}, 0) AS earlier", "sum(n) OVER (PARTITION BY bucket) AS total"
         )
     )
+    return in_slice.join(slices, "sec").selectExpr(*columns, "earlier + in_slice AS reading", "total")
 
-    reading = "(earlier + in_slice)"
-    return (
-        in_slice.join(slices, "sec")
-        .groupBy(anchor_ts)
-        .agg(
-            F.expr(f"sum(before_sign * {reading} + before_total * total) AS before"),
-            F.expr(f"sum(after_sign * {reading} + after_total * total) AS after"),
-        )
+
+def counts_around(
+    anchors: DataFrame, points: DataFrame, anchor_ts: str, point_ts: str, window_s: int
+) -> DataFrame:
+    """``(anchor_ts, before, after)`` per distinct anchor instant; both window ends count,
+    and a point at the very instant counts on both sides."""
+    readings = running_counts(_probes(anchors, anchor_ts, window_s), instants_of(points, point_ts), window_s)
+    return readings.groupBy(anchor_ts).agg(
+        F.expr("sum(before_sign * reading + before_total * total) AS before"),
+        F.expr("sum(after_sign * reading + after_total * total) AS after"),
     )

@@ -15,6 +15,7 @@ from spotlift.functions.response import lift_pct
 from spotlift.functions.timing import minutes_between
 from spotlift.operators.asof import asof_join
 from spotlift.operators.interval_join import interval_join
+from spotlift.operators.pair_ranges import PairRanges, pair_ranges
 from spotlift.operators.reach_index import BROADCAST_BYTES
 from spotlift.operators.salting import ROWS_PER_TASK
 from spotlift.operators.window_counts import counts_around
@@ -61,6 +62,16 @@ def session_spot_candidates(
     return _with_minutes(pairs)
 
 
+def candidate_ranges(sessions: DataFrame, spots: DataFrame, window_s: int = WINDOW_S) -> PairRanges:
+    """The same pairs as ranges of numbered spots for each instant with sessions; its size does not grow with the pairs."""
+    return pair_ranges(sessions, _spot_side(spots), "session_ts", "spot_ts", window_s)
+
+
+def expanded_candidates(ranges: PairRanges, sessions: DataFrame) -> DataFrame:
+    """``session_spot_candidates`` from its ranges."""
+    return _with_minutes(ranges.expanded(sessions))
+
+
 def nearest_spots(
     sessions: DataFrame,
     spots: DataFrame,

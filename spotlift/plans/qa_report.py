@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import DecimalType, FractionalType, IntegralType, NumericType
 
 from spotlift.functions.numeric import invalid_number, is_boolean, is_missing
 from spotlift.functions.timing import days_between
@@ -249,21 +249,44 @@ def key_profile(df: DataFrame, key: str) -> DataFrame:
     )
 
 
-def key_checks(df: DataFrame, table: str, key: str) -> DataFrame:
-    nulls, groups = F.col("null_keys"), F.col("duplicate_groups")
+def key_checks(keys: Sequence[tuple[str, DataFrame, str]]) -> DataFrame:
+    """Null and duplicate checks of primary keys, given as (table, rows, column); two rows for each.
 
-    def verdict(name: str, bad: Column, failed: str, passed: str) -> Column:
+    All keys are counted by one grouping with one shuffle, whole numbers as such and other types as text.
+    """
+    rows = union_all([_typed_key(df, key).withColumn("no", F.lit(no)) for no, (_, df, key) in enumerate(keys)])
+    counted = rows.groupBy("no", "whole", "other").agg(F.count("*").alias("rows"))
+    found = counted.agg(
+        *[F.coalesce(F.sum(F.when((F.col("no") == no) & _no_key(), F.col("rows"))), F.lit(0)).alias(f"null_{no}") for no in range(len(keys))],
+        *[F.count_if((F.col("no") == no) & (F.col("rows") > 1)).alias(f"duplicate_{no}") for no in range(len(keys))],
+    )
+
+    def verdict(name: str, place: str, bad: Column, failed: str, passed: str) -> Column:
         return F.struct(
-            F.lit(f"{name}: {table}.{key}").alias("check_name"),
+            F.lit(f"{name}: {place}").alias("check_name"),
             F.when(bad > 0, FAILED).otherwise(PASSED).alias("status"),
             F.when(bad > 0, F.concat(F.lit(failed), bad.cast("string"))).otherwise(passed).alias("details"),
         )
 
-    verdicts = F.array(
-        verdict("Null check", nulls, "Null count=", "No null primary keys"),
-        verdict("Duplicate check", groups, "Duplicate key groups=", "No duplicate primary keys"),
-    )
-    return key_profile(df, key).select(F.inline(verdicts))
+    verdicts = []
+    for no, (table, _, key) in enumerate(keys):
+        place = f"{table}.{key}"
+        verdicts.append(verdict("Null check", place, F.col(f"null_{no}"), "Null count=", "No null primary keys"))
+        verdicts.append(verdict("Duplicate check", place, F.col(f"duplicate_{no}"), "Duplicate key groups=", "No duplicate primary keys"))
+    return found.select(F.inline(F.array(*verdicts)))
+
+
+def _no_key() -> Column:
+    return F.col("whole").isNull() & F.col("other").isNull()
+
+
+def _typed_key(df: DataFrame, key: str) -> DataFrame:
+    kind, column = df.schema[key].dataType, F.col(key)
+    if isinstance(kind, IntegralType):
+        return df.select(column.cast("bigint").alias("whole"), F.lit(None).cast("string").alias("other"))
+    if isinstance(kind, FractionalType) and not isinstance(kind, DecimalType):
+        column = column + F.lit(0.0)  # minus zero is zero
+    return df.select(F.lit(None).cast("bigint").alias("whole"), column.cast("string").alias("other"))
 
 
 def attribution_failures(df: DataFrame, impression: str, conversion: str, max_days: int = 7) -> DataFrame:
@@ -423,10 +446,6 @@ def run_qa(
 
 
 def _all_key_checks(spark: SparkSession, keys: Mapping[str, str]) -> list[DataFrame]:
-    parts = []
-    for table, key in keys.items():
-        if catalog.table_exists(spark, table):
-            parts.append(key_checks(spark.table(table), table, key))
-        else:
-            parts.append(fixed(spark, [(f"Null check: {table}.{key}", FAILED, "Table missing")]))
-    return parts
+    there = [table for table in keys if catalog.table_exists(spark, table)]
+    parts = [fixed(spark, [(f"Null check: {t}.{k}", FAILED, "Table missing")]) for t, k in keys.items() if t not in there]
+    return [*parts, key_checks([(t, spark.table(t), keys[t]) for t in there])] if there else parts
