@@ -3,6 +3,9 @@
 Everything is built from SQL functions. A pattern's matches come from ``regexp_extract_all``; splitting the text at the same pattern
 gives what lies between them, so running sums of lengths give the offsets, in code points. Possessive quantifiers and an anchor at the
 beginning of a run keep the work linear in long runs of letters or digits without changing which matches are found.
+
+Running sums, maxima and minima over the matches of one text are taken by doubling, so a text of n matches costs n log n: a number table of
+any length is one text like any other. A lambda's body is evaluated anew for each element, so whatever it reads is bound to a name before.
 """
 
 from __future__ import annotations
@@ -20,6 +23,8 @@ BASE = ("email", "ip", "card", "phone")
 ADDED = ("iban", "ssn", "local_phone")
 KINDS = BASE + ADDED
 
+#: Code points of a block of text that cuts are made in.
+_BLOCK = 1024
 _SPANS = "array<struct<start:int,kind_no:int,kind:string,end:int,score:double>>"
 
 # A match begins at the first character of its run or where the last match ended.
@@ -112,65 +117,82 @@ def _confirmed(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+def _bound(value: Column, body) -> Column:
+    """``body`` of ``value``, which is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _running(values: Column, joined, back: bool = False) -> Column:
+    """Each element joined with all before it (behind it, with ``back``), by doubling the distance."""
+    sign = -1 if back else 1
+
+    def farther(so_far: Column, step: Column) -> Column:
+        return F.transform(so_far, lambda x, i: F.coalesce(joined(x, F.get(so_far, i - step * sign)), x))
+
+    steps = F.array(*[F.lit(1 << k) for k in range(31)])
+    return _bound(
+        values, lambda v: _bound(F.size(v), lambda n: F.aggregate(F.filter(steps, lambda step: step < n), v, farther))
+    )
+
+
 def _found(text: Column, kind: str, search: Search) -> Column:
     """Confirmed spans of one kind, in order."""
     pattern = F.lit(PATTERNS[kind])
-    matches = F.regexp_extract_all(text, pattern, F.lit(0))
-    # Lengths between matches and of matches give the running offset.
-    pairs = F.arrays_zip(
-        F.transform(F.split(text, pattern, -1), lambda gap: F.length(gap)).alias("gap"), matches.alias("match")
-    )
-    begun = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,match:string>>").alias("spans"))
-    laid = F.aggregate(
-        F.filter(pairs, lambda p: p["match"].isNotNull()),
-        begun,
-        lambda so_far, p: F.struct(
-            (so_far["at"] + p["gap"] + F.length(p["match"])).alias("at"),
-            F.concat(
-                so_far["spans"],
-                F.array(F.struct((so_far["at"] + p["gap"]).alias("start"), p["match"].alias("match"))),
-            ).alias("spans"),
-        ),
-        lambda end: end["spans"],
-    )
     number = KINDS.index(kind)
-
-    def rated(span: Column) -> Column:
-        start = span["start"]
-        low = F.greatest(start - search.reach, F.lit(0))
-        before = F.substr(text, low + 1, start - low)
+    pairs = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, pattern, F.lit(0)).alias("match"))
+    pieces = F.filter(pairs, lambda p: p["match"].isNotNull())
+    nearest = search.reach // 2  # a match has two characters at least
+
+    def spans(pieces: Column) -> Column:
+        # Lengths between matches and of matches, added up, are where matches end.
+        ends = _running(F.transform(pieces, lambda p: F.length(p["gap"]) + F.length(p["match"])), lambda x, y: x + y)
+        laid = F.transform(F.arrays_zip(pieces.alias("p"), ends.alias("end")), lambda x, i: F.struct(x["p"].alias("p"), x["end"].alias("end"), i.alias("no")))
+        return F.transform(F.filter(laid, lambda x: _confirmed(kind, x["p"]["match"])), lambda x: rated(pieces, x))
+
+    def rated(pieces: Column, found: Column) -> Column:
+        earlier = F.slice(pieces, F.greatest(found["no"] - nearest, F.lit(0)) + 1, F.least(found["no"], F.lit(nearest)))
+        parts = F.transform(earlier, lambda p: F.right(F.concat(p["gap"], p["match"]), F.lit(search.reach)))
+        before = F.right(F.concat(F.array_join(parts, ""), found["p"]["gap"]), F.lit(search.reach))
         score = F.lit(SCORES[kind]) + F.when(before.rlike(CONTEXT[kind]), F.lit(search.bonus)).otherwise(F.lit(0.0))
         return F.struct(
-            start.alias("start"),
+            (found["end"] - F.length(found["p"]["match"])).alias("start"),
             F.lit(number).alias("kind_no"),
             F.lit(kind).alias("kind"),
-            (start + F.length(span["match"])).alias("end"),
+            found["end"].alias("end"),
             F.least(score, F.lit(1.0)).alias("score"),
         )
 
-    spans = F.transform(F.filter(laid, lambda s: _confirmed(kind, s["match"])), rated)
+    found = _bound(pieces, spans)
     if kind in ADDED:
-        spans = F.filter(spans, lambda s: s["score"] >= search.least)
-    return F.when(HINTS[kind](text), spans.cast(_SPANS)).otherwise(F.array().cast(_SPANS))
+        found = F.filter(found, lambda s: s["score"] >= search.least)
+    return F.when(HINTS[kind](text), found.cast(_SPANS)).otherwise(F.array().cast(_SPANS))
+
+
+def _settled(spans: Column) -> Column:
+    """``spans``, sorted, without the added ones that overlap a base span."""
+    least, most = F.lit(-1), F.lit((1 << 31) - 1)
+    added = F.lit(len(BASE))
+    reached = _running(F.transform(spans, lambda s: F.when(s["kind_no"] < added, s["end"]).otherwise(least)), F.greatest)
+    begun = _running(F.transform(spans, lambda s: F.when(s["kind_no"] < added, s["start"]).otherwise(most)), F.least, back=True)
+    beside = F.arrays_zip(spans.alias("span"), reached.alias("reached"), begun.alias("begun"))
+    free = F.filter(
+        beside,
+        lambda x: (x["span"]["kind_no"] < added)
+        | ((x["reached"] <= x["span"]["start"]) & (x["begun"] >= x["span"]["end"])),
+    )
+    return F.when(F.exists(spans, lambda s: s["kind_no"] >= added), F.transform(free, lambda x: x["span"])).otherwise(spans)
 
 
 def with_spans(docs: DataFrame, search: Search = Search()) -> DataFrame:
     """``docs`` with ``pii``, all spans by start and kind, and ``pii_base``, those of the fixed kinds; a null text has none.
 
     A span has ``start``, ``end`` (code points, end exclusive), ``kind`` and ``score``. Added kinds that overlap a base span give way.
-    Columns of these two names in ``docs`` give way.
+    Columns of these two names in ``docs`` give way. Equal rows get equal spans.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    kinds = without(docs, ["pii", "pii_base"]).select("*", *[_found(text, k, search).alias(f"_pii_{k}") for k in KINDS])
-    base = F.array_sort(reduce(F.concat, [F.col(f"_pii_{k}") for k in BASE]))
-    more = F.concat(*[F.col(f"_pii_{k}") for k in ADDED])
-    rows = kinds.withColumn("pii_base", base).withColumn(
-        "_pii_more",
-        F.filter(more, lambda a: ~F.exists("pii_base", lambda b: (a["start"] < b["end"]) & (b["start"] < a["end"]))),
-    )
-    return rows.withColumn("pii", F.array_sort(F.concat("pii_base", "_pii_more"))).drop(
-        "_pii_more", *[f"_pii_{k}" for k in KINDS]
-    )
+    spans = F.array_sort(reduce(F.concat, [_found(text, kind, search) for kind in KINDS]))
+    rows = without(docs, ["pii", "pii_base"]).select("*", _bound(spans, _settled).alias("pii"))
+    return rows.select("*", F.filter("pii", lambda s: s["kind_no"] < len(BASE)).alias("pii_base"))
 
 
 def _written(spans: str) -> Column:
@@ -199,21 +221,27 @@ def masked(docs: DataFrame, search: Search = Search()) -> DataFrame:
     """
     names = docs.columns
     rows = with_spans(docs.select(F.struct(*[docs[n].alias(f"c{i}") for i, n in enumerate(names)]).alias("row"), docs["text"].alias("text")), search)
-    begun = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     text = F.col("text").cast("string")
-    built = F.aggregate(
-        F.col("pii"),
-        begun,
-        lambda done, s: F.struct(
-            F.greatest(done["at"], s["end"]).alias("at"),
-            F.when(
-                s["start"] >= done["at"],
-                F.concat(done["out"], F.substr(text, done["at"] + 1, s["start"] - done["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]")),
-            ).otherwise(done["out"]).alias("out"),
-        ),
-        lambda done: F.concat(done["out"], F.substr(text, done["at"] + 1)),
-    )
-    new = F.when(F.size("pii") > 0, built).otherwise(text)
+    # Cutting a text at a place reads it from its beginning: cuts are made in blocks of it instead.
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_BLOCK}}}"), F.lit(0))
+
+    def cut(blocks: Column, low: Column, high: Column) -> Column:
+        first = F.floor(low / _BLOCK).cast("int")
+        last = F.floor((high - 1) / _BLOCK).cast("int")
+        part = F.array_join(F.slice(blocks, first + 1, last - first + 1), "")
+        return F.when(high > low, F.substr(part, low - first * _BLOCK + 1, high - low)).otherwise("")
+
+    def built(spans: Column, blocks: Column, reached: Column) -> Column:
+        beside = F.transform(spans, lambda s, i: F.struct(s.alias("span"), F.coalesce(F.get(reached, i - 1), F.lit(0)).alias("at")))
+        begun = F.filter(beside, lambda x: x["span"]["start"] >= x["at"])
+        parts = F.transform(begun, lambda x: F.concat(cut(blocks, x["at"], x["span"]["start"]), F.lit("["), F.upper(x["span"]["kind"]), F.lit("]")))
+        return F.concat(F.array_join(parts, ""), cut(blocks, F.element_at(reached, -1), F.length(text)))
+
+    def joined(spans: Column) -> Column:
+        ends = _running(F.transform(spans, lambda s: s["end"]), F.greatest)
+        return _bound(blocks, lambda b: _bound(ends, lambda reached: built(spans, b, reached)))
+
+    new = F.when(F.size("pii") > 0, _bound(F.col("pii"), joined)).otherwise(text)
     rows = rows.select("row", new.alias("text"))
 
     def column(i: int, name: str) -> Column:
