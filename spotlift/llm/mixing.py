@@ -4,6 +4,11 @@ Tokens are counted by source, language and topic. Raking finds a factor for ever
 counts meet all three targets; a document is then kept with a probability proportional to the product of its factors, drawn from
 a hash, so expected tokens have the target shares exactly.
 
+How much is kept is a target too (``kept``, a share of all tokens). A name that has less than its share of that gives all it has, and the
+others fill up in proportion to their shares; a cell whose probability would pass one stays at one, and the factors are raked on
+around it. So a scarce source costs no other source its documents. Without ``kept`` shares are met exactly and the scarcest cell
+sets the rate.
+
 Sources may be many: their counts and factors stay in a table, a row for each source, and a sweep is one aggregation over it.
 Languages and topics are few, and only sums over them reach the driver; more than ``LANGUAGES`` languages are refused.
 """
@@ -31,7 +36,8 @@ class Targets:
     """Wanted shares of tokens by source, language and topic.
 
     A dimension without shares gets the tempered ones it has, its shares raised to ``temper`` and scaled to one, which lifts
-    the rare and lowers the frequent. Names without a given share have none.
+    the rare and lowers the frequent. Names without a given share have none. ``kept`` is the share of all tokens to keep, as far as
+    names with a share hold as many; None keeps what exact shares allow.
     """
 
     source: dict[str, float] = field(default_factory=dict)
@@ -41,6 +47,13 @@ class Targets:
     sweeps: int = 100
     tolerance: float = 1e-7
     seed: int = 13
+    kept: float | None = None
+
+
+#: What the registered query and the pipeline ask for.
+CORPUS = Targets(kept=0.5)
+#: The factor of a name that gives all it has.
+_ALL = 1e30
 
 
 def topic_of(text: Column) -> Column:
@@ -74,6 +87,32 @@ def _tempered(sums: dict[str, float], given: dict[str, float], temper: float) ->
     return {k: v / total for k, v in wanted.items()} if total else wanted
 
 
+def _level(rest: float, weight: float) -> float:
+    return rest / weight if weight else 0.0
+
+
+def _filled(shares: np.ndarray, have: np.ndarray, tokens: float) -> np.ndarray:
+    """``tokens`` in proportion to ``shares``, none above what it has."""
+    full = np.zeros(len(have), bool)
+    while True:
+        level = _level(tokens - have[full].sum(), shares[~full].sum())
+        more = full | (level * shares >= have)
+        if (more == full).all():
+            return np.where(full, have, level * shares)
+        full = more
+
+
+def _filled_sources(sources: DataFrame, tokens: float) -> DataFrame:
+    """``sources`` with ``wanted`` as tokens in proportion to what it was, none above ``have``; a pass for each step of the level."""
+    full, level = 0, _level(tokens, sources.agg(F.sum("wanted")).first()[0] or 0.0)
+    while True:
+        is_full = F.col("wanted") * level >= F.col("have")
+        n, held, weight = sources.agg(F.count_if(is_full), F.sum(F.when(is_full, F.col("have"))), F.sum(F.when(~is_full, F.col("wanted")))).first()
+        if n == full:
+            return sources.withColumn("wanted", F.least("have", F.col("wanted") * level))
+        full, level = n, max(level, _level(tokens - (held or 0.0), weight or 0.0))
+
+
 def _doubles(values: np.ndarray) -> Column:
     """``values`` as one constant, however many."""
     return F.split(F.lit(",".join(map(repr, values.tolist()))), ",").cast("array<double>")
@@ -90,6 +129,14 @@ class Mix:
     sweeps: int
 
 
+def _refitted(factor: np.ndarray, goal: np.ndarray, full: np.ndarray, reach: np.ndarray) -> np.ndarray:
+    """Factors that bring ``reach`` to what ``goal`` leaves beside the cells at one; those with nothing left to give shrink in proportion."""
+    some = np.where(reach > 0, reach, 1)
+    fitted = np.where(reach > 0, (goal - full) / some, np.where(full > 0, factor, 0))
+    shrunk = factor * goal / np.maximum(full + reach * factor, 1e-300)
+    return np.where(factor >= _ALL, factor, np.where(goal > full, fitted, shrunk))
+
+
 def rake(docs: DataFrame, targets: Targets = Targets()) -> Mix:
     """Factors that meet the targets; sources that hold tokens only where nothing is wanted get none.
 
@@ -103,53 +150,93 @@ def rake(docs: DataFrame, targets: Targets = Targets()) -> Mix:
     by_topic = counted.groupBy("topic").agg(F.sum("n").alias("n")).collect()
     total = sum(r["n"] for r in by_topic)
     if not total:
-        empty = docs.sparkSession.createDataFrame([], "source string, factor double")
-        return Mix(empty, {}, {}, 1.0, 0)
+        return Mix(docs.sparkSession.createDataFrame([], "source string, factor double"), {}, {}, 1.0, 0)
+    bounded = targets.kept is not None
+    for name, given in (("source", targets.source), ("lang", targets.lang), ("topic", targets.topic)):
+        if bounded and given:  # nothing else is wanted, so nothing else counts
+            counted = counted.where(F.col(name).isin([k for k, v in given.items() if v > 0]))
+    by_lang = counted.groupBy("lang").agg(F.sum("n").alias("n")).collect()
+    by_topic = counted.groupBy("topic").agg(F.sum("n").alias("n")).collect()
     langs = {r["lang"]: r["n"] for r in by_lang}
+    if not langs:  # no token is wanted
+        return Mix(docs.sparkSession.createDataFrame([], "source string, factor double"), {}, {}, 1.0, 0)
     names = sorted(langs)
     topics = [t for t, _ in TOPICS]
     topic_sums = {r["topic"]: r["n"] for r in by_topic}
+    tokens = min(targets.kept * total, sum(langs.values())) if bounded else 1.0
     want_l = _tempered(langs, targets.lang, targets.temper)
     want_t = _tempered(topic_sums, targets.topic, targets.temper)
     goal_l = np.array([want_l[name] for name in names])
     goal_t = np.array([want_t.get(t, 0.0) for t in topics])
+    lang_f, topic_f = np.ones(len(names)), np.ones(len(topics))
+    if bounded:
+        have_l, have_t = np.array([langs[n] for n in names]), np.array([topic_sums.get(t, 0.0) for t in topics])
+        goal_l, goal_t = _filled(goal_l, have_l, tokens), _filled(goal_t, have_t, tokens)
+        lang_f[goal_l >= have_l * (1 - 1e-12)] = _ALL
+        topic_f[goal_t >= have_t * (1 - 1e-12)] = _ALL
 
     places = docs.sparkSession.createDataFrame([(name, i) for i, name in enumerate(names)], "lang string, place int")
     cell = (F.col("place") * len(topics) + F.array_position(F.array(*[F.lit(t) for t in topics]), F.col("topic")).cast("int")).alias("k")
     cells = counted.join(F.broadcast(places), "lang").groupBy("source", cell).agg(F.sum("n").alias("n"))
     wanted = F.map_from_entries(F.array(*[F.struct(F.lit(k), F.lit(float(v))) for k, v in targets.source.items()])) if targets.source else None
     power = F.coalesce(F.try_element_at(wanted, F.col("source")), F.lit(0.0)) if targets.source else F.pow(F.sum("n"), F.lit(targets.temper))
-    sources = materialised(
-        cells.groupBy("source").agg(F.collect_list(F.struct("k", "n")).alias("cells"), power.alias("wanted"))
+    sources = cells.groupBy("source").agg(
+        F.collect_list(F.struct("k", "n")).alias("cells"), power.alias("wanted"), F.sum("n").alias("have")
     )
-    scale = sources.agg(F.sum("wanted")).first()[0] or 1.0
-
-    lang_f, topic_f = np.ones(len(names)), np.ones(len(topics))
+    sources = materialised(sources)
+    if bounded:
+        sources = _filled_sources(sources, tokens)
+    else:
+        scale = sources.agg(F.sum("wanted")).first()[0] or 1.0
+        sources = sources.withColumn("wanted", F.col("wanted") / scale)
 
     def with_factor() -> DataFrame:
-        """``factor`` gives each source its wanted share under the factors of languages and topics."""
+        """``factor`` gives each source its wanted tokens under the factors of languages and topics."""
         factors = _doubles(np.outer(lang_f, topic_f).ravel())
-        reach = F.aggregate("cells", F.lit(0.0), lambda s, c: s + c["n"] * F.element_at(factors, c["k"]))
-        return sources.withColumn("factor", F.when(reach > 0, F.col("wanted") / F.lit(scale) / reach).otherwise(0.0))
+        weighted = F.transform("cells", lambda c: F.struct(F.element_at(factors, c["k"]).alias("w"), c["n"].alias("n")))
+        if not bounded:
+            reach = F.aggregate(weighted, F.lit(0.0), lambda s, c: s + c["n"] * c["w"])
+            return sources.withColumn("factor", F.when(reach > 0, F.col("wanted") / reach).otherwise(0.0))
+
+        # From the lightest cell on: a cell stays below one if a factor that brings it to one gives the source too much.
+        def added(s: Column, c: Column) -> Column:
+            reach, below = s["reach"] + c["n"] * c["w"], s["below"] + c["n"]
+            under = reach / c["w"] + F.col("have") - below > F.col("wanted") * (1 + 1e-12)
+            return F.struct(
+                reach.alias("reach"),
+                below.alias("below"),
+                F.when(under, reach).otherwise(s["open_reach"]).alias("open_reach"),
+                F.when(under, below).otherwise(s["open"]).alias("open"),
+            )
+
+        begun = F.struct(*[F.lit(0.0).alias(n) for n in ("reach", "below", "open_reach", "open")])
+        parted = sources.withColumn("_parted", F.aggregate(F.array_sort(F.filter(weighted, lambda c: c["w"] > 0)), begun, added))
+        rest = F.col("wanted") - (F.col("have") - F.col("_parted.open"))
+        factor = F.when(F.col("_parted.open_reach") > 0, rest / F.col("_parted.open_reach")).otherwise(_ALL)
+        return parted.withColumn("factor", F.when(F.col("wanted") > 0, factor).otherwise(0.0)).drop("_parted")
 
     sweep = 0
     for sweep in range(1, targets.sweeps + 1):
+        factors = _doubles(np.outer(lang_f, topic_f).ravel())
         held = with_factor().select("factor", F.explode("cells").alias("c"))
-        sums = np.zeros(len(names) * len(topics))
-        for row in held.groupBy("c.k").agg(F.sum(F.col("factor") * F.col("c.n")).alias("n")).collect():
-            sums[row["k"] - 1] = row["n"]
-        table = sums.reshape(len(names), len(topics))
-        now = table * np.outer(lang_f, topic_f)
-        off = max(np.abs(now.sum(1) - goal_l).max(), np.abs(now.sum(0) - goal_t).max())
-        if off < targets.tolerance:
+        full = F.col("factor") * F.element_at(factors, F.col("c.k")) >= (1.0 if bounded else float("inf"))
+        sums = held.groupBy("c.k").agg(
+            F.sum(F.when(~full, F.col("factor") * F.col("c.n"))).alias("rest"), F.sum(F.when(full, F.col("c.n"))).alias("full")
+        )
+        table, fixed = np.zeros((2, len(names) * len(topics)))
+        for row in sums.collect():
+            table[row["k"] - 1], fixed[row["k"] - 1] = row["rest"] or 0.0, row["full"] or 0.0
+        table, fixed = table.reshape(len(names), len(topics)), fixed.reshape(len(names), len(topics))
+        now = table * np.outer(lang_f, topic_f) + fixed
+        off = max(np.abs(now.sum(1) - goal_l).max(initial=0), np.abs(now.sum(0) - goal_t).max(initial=0))
+        if off < targets.tolerance * tokens:
             break
-        reach = table @ topic_f
-        lang_f = np.where(reach > 0, goal_l / np.where(reach > 0, reach, 1), 0)
-        reach = table.T @ lang_f
-        topic_f = np.where(reach > 0, goal_t / np.where(reach > 0, reach, 1), 0)
+        lang_f = _refitted(lang_f, goal_l, fixed.sum(1), table @ topic_f)
+        topic_f = _refitted(topic_f, goal_t, fixed.sum(0), table.T @ lang_f)
     factors = _doubles(np.outer(lang_f, topic_f).ravel())
     final = materialised(with_factor())
     most = final.select(F.max(F.col("factor") * F.aggregate("cells", F.lit(0.0), lambda m, c: F.greatest(m, F.element_at(factors, c["k"]))))).first()[0]
+    most = 1.0 if bounded else most
     return Mix(final.select("source", "factor"), dict(zip(names, lang_f.tolist(), strict=True)), dict(zip(topics, topic_f.tolist(), strict=True)), most or 1.0, sweep)
 
 

@@ -65,7 +65,7 @@ def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    return mixing.report(table(spark, folder, "documents"))
+    return mixing.report(table(spark, folder, "documents"), mixing.CORPUS)
 
 
 def op11_url_filter(spark: SparkSession, folder: str) -> DataFrame:

@@ -69,6 +69,35 @@ def _masked(text):
     return text.replace("4111 1111 1111 1111", "[CARD]")
 
 
+def _root(grows, goal):
+    """Where a growing function passes ``goal``, or a very large number."""
+    low, high = 0.0, 1e30
+    if grows(high) <= goal * (1 + 1e-13):
+        return high
+    for _ in range(300):
+        middle = (low * high) ** 0.5 if low else high / 1e3
+        low, high = (middle, high) if grows(middle) < goal else (low, middle)
+    return high
+
+
+def _raked(table, shares, tokens):
+    """Probabilities of the cells, at most one, that keep ``tokens`` in the proportion of ``shares``, as far as names have so many."""
+    goals = []
+    for d, share in enumerate(shares):
+        have = table.sum(tuple({0, 1, 2} - {d}))
+        level = _root(lambda c: np.minimum(have, c * share).sum(), tokens)
+        goals.append(np.minimum(have, level * share))
+    factors = [np.ones(len(g)) for g in goals]
+    for _ in range(60):
+        for d in range(3):
+            others = np.moveaxis(np.ones(table.shape), d, 0).copy()
+            rest = [factors[e] for e in range(3) if e != d]
+            others *= rest[0][None, :, None] * rest[1][None, None, :]
+            sizes = np.moveaxis(table, d, 0)
+            factors[d] = np.array([_root(lambda f: (np.minimum(1, f * o) * n).sum(), g) for o, n, g in zip(others, sizes, goals[d], strict=True)])
+    return np.minimum(1, factors[0][:, None, None] * factors[1][None, :, None] * factors[2][None, None, :])
+
+
 def _mixed(rows, temper=0.85):
     cells = [(r[3] or "unknown", r[2] or "unknown", next(n for n, p in mixing.TOPICS if re.search(p, r[1] or ""))) for r in rows]
     sizes = np.array([len(_words(r[1])) for r in rows], float)
@@ -76,20 +105,14 @@ def _mixed(rows, temper=0.85):
     at = np.array([[names[d].index(c[d]) if c[d] in names[d] else 0 for d in range(3)] for c in cells])
     table = np.zeros([len(n) for n in names])
     np.add.at(table, tuple(at.T), sizes)
-    fitted = table / table.sum()
-    goals = [(s := table.sum(tuple({0, 1, 2} - {d})) ** temper) / s.sum() for d in range(3)]
-    for _ in range(2000):
-        for d in range(3):
-            now = fitted.sum(tuple({0, 1, 2} - {d}))
-            fitted *= np.expand_dims(goals[d] / now, tuple({0, 1, 2} - {d}))
-    weight = np.divide(fitted, table, out=np.zeros_like(table), where=table > 0)
+    weight = _raked(table, [table.sum(tuple({0, 1, 2} - {d})) ** temper for d in range(3)], 0.5 * table.sum())
     kept = []
     for r, place, n in zip(rows, at, sizes, strict=True):
         first = xxhash.xxh64_intdigest(int(r[0]).to_bytes(8, "little"), 42)
         draw = xxhash.xxh64_intdigest((r[1] or "").encode(), first)
         final = xxhash.xxh64_intdigest((13).to_bytes(4, "little"), xxhash.xxh64_intdigest(draw.to_bytes(8, "little"), 42))
         chance = final % 2**53 / 2**53
-        probability = weight[tuple(place)] / weight.max() if n else 1.0
+        probability = weight[tuple(place)] if n else 1.0
         assert abs(chance - probability) > 1e-5  # else a matter of rounding
         if chance < probability:
             kept.append(r)
