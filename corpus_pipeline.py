@@ -26,7 +26,7 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn so that expected tokens by source, language and topic have the tempered shares."""
-    return mixing.mixed(docs)
+    return mixing.mixed(docs, mixing.CORPUS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
