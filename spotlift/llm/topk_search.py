@@ -2,7 +2,7 @@
 
 Components are turned into integers first. Candidates are dealt to ranges of length, longest first. The longest ones, a bounded number,
 give every query a score that its k-th best can only exceed; a query then visits just the ranges whose longest vector could
-reach that score. Inside a range, vectors and queries are rotated by the singular vectors of a bounded sample, so that a few leading
+reach that score. Queries that visit equally many ranges share a part, so a range is copied only to the parts that visit it. Inside a range, vectors and queries are rotated by the singular vectors of a bounded sample, so that a few leading
 coordinates hold most of a product; partial sums over them plus the Cauchy-Schwarz bound of the rest rule out most candidates, and the
 others are scored exactly in integers. Rounding only ever widens a bound.
 """
@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spotlift.llm.grouped import sorted_groups
@@ -23,7 +23,10 @@ from spotlift.llm.shared import written
 
 @dataclass(frozen=True)
 class Search:
-    """``head`` longest vectors and ``sample`` vectors for the rotation go to the driver; ``block`` candidates and ``queries`` a task."""
+    """``head`` longest vectors and ``sample`` vectors for the rotation go to the driver; ``block`` candidates and ``queries`` a task.
+
+    ``ranges`` bounds the ranges of length, evenly over all rows: beyond it a range holds more blocks, each still of ``block`` rows.
+    """
 
     k: int = 5
     scale: int = 256
@@ -31,6 +34,7 @@ class Search:
     sample: int = 2048
     block: int = 8192
     queries: int = 1024
+    ranges: int = 2000
     leading: int = 16
 
 
@@ -132,6 +136,14 @@ def _search(rotation: np.ndarray, config: Search):
     return run
 
 
+def _looked_up(values: dict[int, int], key: str) -> Column:
+    """The value of a short table, one entry for each range at most, under the key in a column."""
+    if not values:
+        return F.lit(None).cast("long")
+    entries = [F.struct(F.lit(k).cast("long"), F.lit(v).cast("long")) for k, v in values.items()]
+    return F.element_at(F.map_from_entries(F.array(*entries)), F.col(key))
+
+
 def top_k(vectors: DataFrame, is_query, config: Search = Search()) -> DataFrame:
     """``query_id, rank, vec_id, score``: for every row of ``vectors`` (``vec_id``, ``embedding``) that ``is_query`` picks, its k best others.
 
@@ -158,9 +170,9 @@ def top_k(vectors: DataFrame, is_query, config: Search = Search()) -> DataFrame:
 
     # Ranges of length: equal lengths fall together, so a block beyond its size is dealt on by a hash.
     total = rows.count()
-    wanted = max(1, -(-total // config.block))
+    wanted = min(max(1, -(-total // config.block)), config.ranges)
     levels = np.linspace(0, 1, wanted + 1)[1:-1].tolist()
-    cuts = sorted(set(rows.approxQuantile("norm", levels[:2000], 0.2 / (wanted + 1)))) if levels else []
+    cuts = sorted(set(rows.approxQuantile("norm", levels, 0.2 / (wanted + 1)))) if levels else []
     place = F.lit(len(cuts)).cast("long") - F.aggregate(
         F.array(*[F.lit(c) for c in cuts]).cast("array<double>"), F.lit(0).cast("long"), lambda n, c: n + (F.col("norm") > c).cast("long")
     )
@@ -168,8 +180,8 @@ def top_k(vectors: DataFrame, is_query, config: Search = Search()) -> DataFrame:
     sizes = ranged.groupBy("range").agg(F.max("norm").alias("longest"), F.ceil(F.count(F.lit(1)) / config.block).alias("pieces"))
     sizes = written(sizes, "ranges")  # one row for each range
     listed = [(int(r["range"]), float(r["longest"]), int(r["pieces"])) for r in sizes.collect()]
-    pieces = F.map_from_entries(F.array(*[F.struct(F.lit(a).cast("long"), F.lit(p).cast("long")) for a, _, p in listed]))
-    spread = F.array(*[F.struct(F.lit(a).cast("long").alias("range"), F.lit(m).alias("longest"), F.lit(p).cast("long").alias("pieces")) for a, m, p in listed])
+    pieces_of = {r: n for r, _, n in listed}
+    spread = F.array(*[F.struct(F.lit(r).cast("long").alias("range"), F.lit(m).alias("longest"), F.lit(n).cast("long").alias("pieces")) for r, m, n in listed])
 
     asked = rows.where(is_query).select(F.col("vec_id").alias("query_id"), "v", "norm").groupBy("query_id", "v").agg(
         F.first("norm").alias("q_norm")
@@ -180,25 +192,33 @@ def top_k(vectors: DataFrame, is_query, config: Search = Search()) -> DataFrame:
         "query_id long, copy long, q array<long>, q_norm double, floor double",
     )
     asked = written(asked, "queries")
-    n_parts = max(1, -(-asked.count() // config.queries))
-    part = F.pmod(F.xxhash64("query_id", "copy"), F.lit(n_parts))
-    visits = asked.withColumn("part", part).withColumn(
-        "to", F.explode(F.filter(spread, lambda r: F.col("q_norm") * r["longest"] * (1 + 1e-9) >= F.col("floor")))
-    ).withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("to.pieces") - 1)))
+    # Ranges are numbered from the longest on, so what a query visits is a first few of them, up to its reach. Parts are numbered
+    # from the farthest reach on: then a range goes to a first few parts, those whose queries reach it.
+    visited = F.filter(spread, lambda r: F.col("q_norm") * r["longest"] * (1 + 1e-9) >= F.col("floor"))
+    asked = asked.withColumn("visited", visited).where(F.size("visited") > 0)
+    asked = asked.withColumn("reach", F.array_max(F.transform("visited", lambda r: r["range"])))
+    reached = asked.groupBy("reach").agg(F.ceil(F.count(F.lit(1)) / config.queries).alias("parts")).collect()  # a row for each range at most
+    first, shares, n_parts = {}, {}, 0
+    for row in sorted(reached, key=lambda r: -r["reach"]):
+        first[row["reach"]], shares[row["reach"]] = n_parts, row["parts"]
+        n_parts += row["parts"]
+    upto = {r: sum(n for reach, n in shares.items() if reach >= r) for r in pieces_of}
+    share = F.pmod(F.xxhash64("query_id", "copy"), _looked_up(shares, "reach"))
+    visits = asked.withColumn("part", _looked_up(first, "reach") + share).withColumn("to", F.explode("visited"))
+    visits = visits.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("to.pieces") - 1)))
     visits = visits.select(
         F.concat_ws(":", "to.range", "piece").alias("block"), "part", F.lit(True).alias("is_query"), F.col("query_id").alias("id"), F.col("q").alias("v"), "floor", "copy"
     )
-    # Every block of candidates goes to every part of the queries: the stated set against all rows, in blocks.
-    piece = F.pmod(F.xxhash64("vec_id"), F.element_at(pieces, F.col("range")))
-    offered = ranged.select(
+    piece = F.pmod(F.xxhash64("vec_id"), _looked_up(pieces_of, "range"))
+    offered = ranged.withColumn("parts", _looked_up(upto, "range")).where("parts > 0").select(
         F.concat_ws(":", "range", piece).alias("block"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_parts - 1).cast("long"))).alias("part"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
         F.lit(False).alias("is_query"),
         F.col("vec_id").alias("id"),
         "v",
         F.lit(0.0).alias("floor"),
         F.lit(0).cast("long").alias("copy"),
-    )
+    )
     dealt = offered.unionByName(visits).repartition("block", "part").sortWithinPartitions("block", "part")
     found = dealt.mapInArrow(_search(rotation, config), "query_id long, copy long, vec_id long, score long")
     # Rows of one query id with unlike vectors answer as one query: the best of all.

@@ -147,7 +147,7 @@ def test_embedding_links(spark, config):
     assert embedding_dedup.near_duplicates(frame.limit(0), config).count() == 0
 
 
-@pytest.mark.parametrize("config", [topk_search.Search(), topk_search.Search(head=8, block=7, queries=2, leading=2)])
+@pytest.mark.parametrize("config", [topk_search.Search(), topk_search.Search(head=8, block=7, queries=2, leading=2), topk_search.Search(head=8, block=7, queries=1, ranges=3)])
 def test_top_k(spark, config):
     rows, frame = _vectors(spark)
     whole = [(r[0], np.floor(np.array(r[1]) * 256)) for r in rows if r[0] is not None and r[1] and None not in r[1] and np.isfinite(r[1]).all()]
