@@ -1,13 +1,17 @@
-"""Repeated passages over a corpus, found by relative Lempel-Ziv parsing against an index of all documents.
+"""Repeated passages over a corpus: phrases cut by content, looked up in an index of all documents.
+
+This stands in for greedy relative Lempel-Ziv parsing, which it is not. A greedy parse takes the longest match from one word on and starts
+anew behind it, so the factors of a document depend on one another, and each document would have to meet every reference block: copies of the
+corpus as many as blocks. Phrases cut by content can be looked up apart, by one join. Passages found are the same, as single windows are
+compared wherever phrases differ.
 
 Words are cut into phrases by content: each window of ``window`` words belongs to the smallest hash of the ``gram``-word
 sequences in it, and a phrase is a run of windows of one document that share this hash. Equal passages are therefore
-cut alike, wherever they stand. The reference index holds every phrase of every document, spread over blocks by the
-phrase's hash; a document is parsed by looking its phrases up in all blocks, which is one join on that hash.
+cut alike, wherever they stand. The index holds every phrase of every document, spread by the phrase's hash; a document's
+phrases are looked up by one join on that hash.
 
-* A phrase that an earlier document holds word for word extends the current factor, so factors grow greedily over
-  consecutive phrases.
-* Where a phrase's hash occurs with other words around it a factor ends inside the phrase. Only there are single
+* A phrase that an earlier document holds word for word is a repeat as a whole.
+* Where a phrase's hash occurs with other words around it a repeat may end inside the phrase. Only there are single
   windows looked up, one representative for each different phrase; what is found goes for all places of the phrase in the
   representative's document.
 
