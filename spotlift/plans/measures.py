@@ -34,7 +34,7 @@ def campaign_ranking(effectiveness: DataFrame) -> DataFrame:
     campaigns = effectiveness.groupBy("campaign_id", "campaign_name").agg(
         _avg("incremental_lift_pct", "avg_lift_pct"), F.sum("attributed_sessions").alias("attributed_sessions")
     )
-    best_first = [F.desc("avg_lift_pct"), F.desc("attributed_sessions"), F.asc("campaign_id")]
+    best_first = {"avg_lift_pct": "desc", "attributed_sessions": "desc", "campaign_id": "asc"}
     return global_rank(campaigns, best_first, "campaign_rank")
 
 
@@ -77,7 +77,7 @@ def segment_counts(segmented: DataFrame) -> DataFrame:
 
 def response_ranking(scores: DataFrame) -> DataFrame:
     campaigns = scores.groupBy("campaign_id").agg(_avg("anomaly_score", "avg_anomaly_score"))
-    return global_rank(campaigns, [F.desc("avg_anomaly_score"), F.asc("campaign_id")], "response_rank")
+    return global_rank(campaigns, {"avg_anomaly_score": "desc", "campaign_id": "asc"}, "response_rank")
 
 
 def average_response_score(scores: DataFrame) -> DataFrame:

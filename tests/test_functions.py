@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from spotlift.functions.numeric import invalid_number, to_number
@@ -65,15 +66,37 @@ def test_exact_quantile_of_nothing(spark):
     assert exact_quantile(spark.createDataFrame([(None,)], "v double"), "v", 0.5) is None
 
 
-def test_global_rank_matches_a_single_window(spark):
+@pytest.mark.parametrize("rows_per_range", [100_000, 40, 1])
+def test_global_rank_matches_a_single_window(spark, rows_per_range):
     rng = random.Random(3)
     rows = [(i, rng.randrange(5), rng.randrange(40)) for i in range(500)]
     df = spark.createDataFrame(rows, "id int, a int, b int")
-    got = {r.id: r["rank"] for r in global_rank(df, [F.desc("a"), F.asc("b")]).collect()}
+    got = {r.id: r["rank"] for r in global_rank(df, {"a": "desc", "b": "asc"}, rows_per_range=rows_per_range).collect()}
     ordered = sorted((-a, b) for _, a, b in rows)
     assert got == {i: ordered.index((-a, b)) + 1 for i, a, b in rows}
 
 
+@pytest.mark.parametrize("order", [{"x": "desc", "s": "asc"}, {"s": "desc", "x": "asc"}, {"d": "asc", "x": "desc"}])
+def test_global_rank_of_nulls_and_hot_values(spark, order):
+    """A third of the rows share one value; nulls, NaN, text and decimals among the order's columns."""
+    rng = random.Random(4)
+    some = [None, float("nan"), -0.0, 0.0, 1.5, -2.5, float("inf")]
+    rows = [(i, rng.choice(some) if i % 3 else 7.0, rng.choice([None, "", "b", "B", "ä"]), rng.randrange(9)) for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, x double, s string, n int").selectExpr("*", "cast(n AS decimal(9, 2)) / 7 AS d")
+    sort = [F.desc(c) if direction == "desc" else F.asc(c) for c, direction in order.items()]
+    want = {r["id"]: r["r"] for r in df.withColumn("r", F.rank().over(Window.orderBy(*sort))).collect()}
+    got = {r["id"]: r["rank"] for r in global_rank(df, order, rows_per_range=30).collect()}
+    assert got == want
+    assert global_rank(df.limit(0), order).count() == 0
+
+
+def test_global_rank_shuffles_rows_once(spark):
+    df = spark.range(1000).selectExpr("id", "id % 7 AS a")
+    plan = global_rank(df, {"a": "asc", "id": "asc"}, rows_per_range=100)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(range_no") == 2  # the rows, and the counts that the map side has combined
+    assert "Exchange rangepartitioning" not in plan
+
+
 def test_scaler_uses_population_deviation_and_centres_constants(spark):
     df = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0)], "x double, c double")
     scaler = Scaler.fit(df, ["x", "c"])
