@@ -195,6 +195,16 @@ def test_no_nested_loop_or_cartesian_join(spark, threshold):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_candidates_compute_times_before_pairs(spark):
+    """A pair costs two comparisons and a difference; points are dealt over all partitions, however few bytes they are."""
+    sessions, spots = (f(spark, rows) for f, rows in zip((session_frame, spot_frame), CASES["sparse"], strict=True))
+    plan = executed_plan(marts.session_spot_candidates(sessions, spots))
+    above, join, _ = plan.partition("Join [slice")
+    condition = plan[len(above) :].splitlines()[0]
+    assert "REPARTITION_BY_NUM" in plan
+    assert join and "INTERVAL" not in above + condition and "TIMESTAMP_NTZ" not in above + condition
+
+
 def test_index_is_measured_before_it_is_broadcast(spark):
     sparse, dense = (spot_frame(spark, CASES[c][1]) for c in ("sparse", "dense"))
     sessions = session_frame(spark, CASES["sparse"][0])
