@@ -13,29 +13,54 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spotlift.functions.timing import bucket_no, second_no, shifted
+from spotlift.operators.interval_join import ANCHORS_PER_TASK, grid_join
+from spotlift.operators.salting import ROWS_PER_TASK
 from spotlift.operators.window_counts import instants_of, running_counts
 
 #: Rows of one instant are numbered in this many groups, so that a very full instant is not one task's.
 GROUPS = 64
 
 
+#: Equal parts that the numbers of a bucket are cut into when pairs are listed. A point goes to the parts its ranges touch, six at most on average.
+PARTS = 4
+
+
 @dataclass(frozen=True)
 class PairRanges:
-    """``ranges`` has the point's time, ``bucket``, ``first`` and ``until``; ``anchors`` their columns, ``bucket`` and ``number``."""
+    """``ranges`` has the point's time, ``bucket``, ``first`` and ``until``; ``anchors`` their columns, ``bucket`` and ``number``. The frames
+    that both come from also have ``total``, the anchors of the bucket."""
 
-    ranges: DataFrame
-    anchors: DataFrame
+    sized_ranges: DataFrame
+    sized_anchors: DataFrame
     point_ts: str
 
+    @property
+    def ranges(self) -> DataFrame:
+        return self.sized_ranges.drop("total")
+
+    @property
+    def anchors(self) -> DataFrame:
+        return self.sized_anchors.drop("total")
+
     def pair_counts(self) -> DataFrame:
         """Point instants with the anchors that reach them, ``(point_ts, pairs)``, without listing any."""
         return self.ranges.groupBy(self.point_ts).agg(F.expr("sum(until - first) AS pairs"))
 
-    def expanded(self, points: DataFrame) -> DataFrame:
-        """Every pair, as the columns of ``points`` and of the anchors. The rows are as many as the pairs."""
-        numbers = points.join(self.ranges, self.point_ts).withColumn("number", F.expr("explode(sequence(first, until - 1))"))
-        pairs = numbers.drop("first", "until").join(self.anchors, ["bucket", "number"])
-        return pairs.select(*points.columns, *[c for c in self.anchors.columns if c not in ("bucket", "number")])
+    def expanded(
+        self, points: DataFrame, rows_per_task: int = ROWS_PER_TASK, anchors_per_task: int = ANCHORS_PER_TASK
+    ) -> DataFrame:
+        """Every pair, as the columns of ``points`` and of the anchors. The rows are as many as the pairs.
+
+        Pairs come into being in the last step, where points and anchors of a part of a bucket meet, and are not shuffled: what is
+        shuffled grows with points and anchors.
+        """
+        part_of = f"bucket * {PARTS} + ({{}}) * {PARTS} div total".format
+        left = points.join(self.sized_ranges, self.point_ts).selectExpr(
+            *points.columns, "first", "until", f"explode(sequence({part_of('first')}, {part_of('until - 1')})) AS part"
+        )
+        right = self.sized_anchors.selectExpr("*", f"{part_of('number')} AS part").drop("bucket", "total")
+        met = grid_join(left, right, "part", "number >= first AND number < until", rows_per_task, anchors_per_task)
+        return met.select(*points.columns, *[c for c in right.columns if c not in ("number", "part")])
 
 
 def pair_ranges(points: DataFrame, anchors: DataFrame, point_ts: str, anchor_ts: str, window_s: int) -> PairRanges:
@@ -60,6 +85,7 @@ def pair_ranges(points: DataFrame, anchors: DataFrame, point_ts: str, anchor_ts:
             f"{bucket_no('sec', window_s)} AS bucket",
             "if(kind = 0, reading, 0) AS first",
             "if(kind = 0, total, reading) AS until",
+            "total",
         )
         .where("first < until")
     )
@@ -69,7 +95,7 @@ def pair_ranges(points: DataFrame, anchors: DataFrame, point_ts: str, anchor_ts:
 def _numbered(anchors: DataFrame, instants: DataFrame, anchor_ts: str, window_s: int) -> DataFrame:
     """Anchors with their bucket and number; those of one instant follow one another in any order."""
     start = running_counts(instants.selectExpr("at", "sec", "0 AS kind"), instants, window_s)
-    start = start.selectExpr("at", f"{bucket_no('sec', window_s)} AS bucket", "reading AS before_instant")
+    start = start.selectExpr("at", f"{bucket_no('sec', window_s)} AS bucket", "reading AS before_instant", "total")
     content = f"xxhash64({', '.join(anchors.columns)})"
     grouped = anchors.where(f"{anchor_ts} IS NOT NULL").selectExpr(
         "*", f"{anchor_ts} AS at", f"pmod({content} + spark_partition_id(), {GROUPS}) AS grp", f"{content} AS content"
@@ -81,5 +107,5 @@ def _numbered(anchors: DataFrame, instants: DataFrame, anchor_ts: str, window_s:
         grouped.selectExpr("*", f"{place} - 1 AS place")
         .join(offsets, ["at", "grp"])
         .join(start, "at")
-        .selectExpr(*anchors.columns, "bucket", "before_instant + before_group + place AS number")
+        .selectExpr(*anchors.columns, "bucket", "before_instant + before_group + place AS number", "total")
     )

@@ -55,6 +55,32 @@ def test_size_follows_the_instants(spark):
     assert found.expanded(left).count() == 40_000
 
 
+def _shuffled_rows(plan) -> int:
+    metric = plan.metrics().get("shuffleRecordsWritten")
+    children = plan.children()
+    return (metric.get().value() if metric.isDefined() else 0) + sum(_shuffled_rows(children.apply(i)) for i in range(children.size()))
+
+
+def test_listed_pairs_are_not_shuffled(spark):
+    """300 points within ten seconds meet 300 anchors: 90,000 pairs from 600 rows; busy parts are cut on both sides."""
+    near = [START + dt.timedelta(seconds=i % 10) for i in range(300)]
+    left, right = _frames(spark, [(i, t + dt.timedelta(seconds=10)) for i, t in enumerate(near)], [(i, t, "x") for i, t in enumerate(near)])
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        found = pair_ranges(left, right, "t", "s", 900)
+        pairs = found.expanded(left)
+        assert len({(r["p"], r["a"]) for r in pairs.collect()}) == 90_000
+        assert _shuffled_rows(pairs._jdf.queryExecution().executedPlan()) < 20_000
+        cut = found.expanded(left, rows_per_task=100, anchors_per_task=20)
+        assert len({(r["p"], r["a"]) for r in cut.collect()}) == cut.count() == 90_000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_keys_of_several_tables(spark):
     """One shuffle for all; types do not mix, nulls are one group and minus zero is zero."""
     whole = spark.createDataFrame([(1,), (1,), (2,), (None,), (None,)], "k int")
