@@ -62,9 +62,12 @@ class Statistician:
     def __init__(self):
         self.hasher, self.kinds = WordHasher(), _classes()
 
-    def rows(self, column: pa.Array) -> np.ndarray:
-        data, offsets = column_bytes(column)
-        parts = [self._slice(data, offsets[low : high + 1]) for low, high in row_slices(offsets)]
+    def rows(self, column: pa.Array, most: int = 256) -> np.ndarray:
+        """Statistics of every text; only ``most`` texts are copied at a time."""
+        parts = []
+        for at in range(0, len(column), most):
+            data, offsets = column_bytes(column.slice(at, most))
+            parts += [self._slice(data, offsets[low : high + 1]) for low, high in row_slices(offsets)]
         return np.concatenate(parts) if parts else np.zeros((0, len(STATISTICS)))
 
     def _slice(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -219,6 +222,8 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), *[pa.array(stats[:, i]) for i in range(len(STATISTICS))]], ["doc_id", *STATISTICS]
         )
+        del batch, stats
+        pa.default_memory_pool().release_unused()  # else an idle worker keeps its largest batch
 
 
 def statistics(docs: DataFrame) -> DataFrame:
