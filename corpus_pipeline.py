@@ -31,7 +31,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id``, ``source``, ``lang``, token ids and the digests of ids and of the bytes they decode to."""
-    tokens = byte_bpe.decoded(byte_bpe.encoded(docs.select("doc_id", "source", "lang", "text")))
+    tokens = byte_bpe.encoded_and_decoded(docs.select("doc_id", "source", "lang", "text"))
     return tokens.select(
         "doc_id", "source", "lang", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), "ids"
     )

@@ -1,11 +1,11 @@
-"""Python workers hold small parts of a batch."""
+"""Python workers hold small parts of a batch, and one worker serves a task."""
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
 
-from spotlift.llm import quality
+from spotlift.llm import byte_bpe, quality, toxicity
 
 
 def test_statistics_copy_few_texts_at_a_time(monkeypatch):
@@ -17,3 +17,26 @@ def test_statistics_copy_few_texts_at_a_time(monkeypatch):
     assert max(copied) <= 256 and sum(copied) == 1000
     assert np.array_equal(in_parts, np.concatenate([quality.Statistician().rows(texts.slice(i, 1)) for i in range(1000)]))
     assert quality.Statistician().rows(texts.slice(0, 0)).shape == (0, len(quality.STATISTICS))
+
+
+def test_toxicity_takes_little_text_at_a_time():
+    sizes = []
+
+    class Model:
+        def score(self, texts):
+            sizes.append(sum(map(len, texts)))
+            return np.zeros(len(texts))
+
+    assert len(toxicity._scores(Model(), pa.array(["x" * 1000] * 400 + [None]))) == 401
+    assert max(sizes) <= (1 << 16) + 1000 and sum(sizes) == 400_000
+
+
+def test_one_worker_encodes_and_decodes(spark):
+    rows = [(1, "One text, two lines\n of it"), (2, None), (3, ""), (3, "again é中 " * 200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    both = byte_bpe.encoded_and_decoded(docs)
+    assert both._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    plain = byte_bpe.decoded(byte_bpe.encoded(docs))
+    assert both.columns == plain.columns
+    assert sorted(map(tuple, both.collect())) == sorted(map(tuple, plain.collect()))
+    assert byte_bpe.round_trip(docs)._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
