@@ -21,7 +21,7 @@ from spotlift.operators.window_counts import instants_of, running_counts
 GROUPS = 64
 
 
-#: Equal parts that the numbers of a bucket are cut into when pairs are listed. A point goes to the parts its ranges touch, six at most on average.
+#: Equal parts that the numbers of a bucket are cut into when pairs are listed. A point goes to the parts its two ranges touch, eight at most.
 PARTS = 4
 
 
