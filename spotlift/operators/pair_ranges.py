@@ -7,6 +7,7 @@ take one or two short rows for each instant that has points, however many pairs
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -47,20 +48,26 @@ class PairRanges:
         return self.ranges.groupBy(self.point_ts).agg(F.expr("sum(until - first) AS pairs"))
 
     def expanded(
-        self, points: DataFrame, rows_per_task: int = ROWS_PER_TASK, anchors_per_task: int = ANCHORS_PER_TASK
+        self,
+        points: DataFrame,
+        rows_per_task: int = ROWS_PER_TASK,
+        anchors_per_task: int = ANCHORS_PER_TASK,
+        together: Sequence[str] = (),
+        once: Sequence[str] = (),
     ) -> DataFrame:
-        """Every pair, as the columns of ``points`` and of the anchors. The rows are as many as the pairs.
+        """Every pair, as the columns of ``points`` and of the anchors. The rows are as many as the pairs. ``together`` and ``once``: see
+        ``grid_join``.
 
         Pairs come into being in the last step, where points and anchors of a part of a bucket meet, and are not shuffled: what is
         shuffled grows with points and anchors.
         """
         part_of = f"bucket * {PARTS} + ({{}}) * {PARTS} div total".format
         left = points.join(self.sized_ranges, self.point_ts).selectExpr(
-            *points.columns, "first", "until", f"explode(sequence({part_of('first')}, {part_of('until - 1')})) AS part"
+            *points.columns, "first", "until - 1 AS last", f"explode(sequence({part_of('first')}, {part_of('until - 1')})) AS part"
         )
         right = self.sized_anchors.selectExpr("*", f"{part_of('number')} AS part").drop("bucket", "total")
-        met = grid_join(left, right, "part", "number >= first AND number < until", rows_per_task, anchors_per_task)
-        return met.select(*points.columns, *[c for c in right.columns if c not in ("number", "part")])
+        met = grid_join(left, right, "part", "number", "first", "last", rows_per_task, anchors_per_task, together, once)
+        return met.select(*points.columns, *[c for c in met.columns if c not in {*left.columns, "number"}])
 
 
 def pair_ranges(points: DataFrame, anchors: DataFrame, point_ts: str, anchor_ts: str, window_s: int) -> PairRanges:

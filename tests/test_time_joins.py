@@ -245,3 +245,58 @@ def test_many_spots_in_a_minute_are_spread(spark):
     assert tuple(grid.first()) == (1, 9, 10)
     cells = joins._placed(anchors, grid, "anchor_block", "point_block").groupBy("point_block", "anchor_block").count()
     assert cells.count() == 90 and cells.agg({"count": "max"}).first()[0] < 100
+
+
+def _join_rows(plan) -> int:
+    """Rows that come out of all joins of an executed plan."""
+    children = plan.children()
+    own = plan.metrics().get("numOutputRows").get().value() if "Join" in plan.nodeName() else 0
+    return own + sum(_join_rows(children.apply(i)) for i in range(children.size()))
+
+
+@pytest.mark.parametrize("way", ["joined", "from_ranges"])
+def test_pairs_come_from_lists_of_spots(spark, way):
+    """160,000 pairs of 400 sessions and 400 spots: a join of rows with rows would give each pair, joined to lists it gives far fewer."""
+    at = [BASE + timedelta(seconds=i) for i in range(400)]
+    sessions = session_frame(spark, [(f"s{i}", t + timedelta(seconds=400)) for i, t in enumerate(at)]).repartition(4)
+    spots = spot_frame(spark, [(f"g{i}", t) for i, t in enumerate(at)])
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        if way == "joined":
+            df = marts.session_spot_candidates(sessions, spots)
+        else:
+            df = marts.expanded_candidates(marts.candidate_ranges(sessions, spots), sessions)
+        assert len({(r.session_id, r.spot_id) for r in df.collect()}) == 160_000
+        assert _join_rows(df._jdf.queryExecution().executedPlan()) < 30_000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("before_s, after_s", [(600, 300), (0, 900), (0, 0), (1, 0)])
+def test_lists_hold_all_pairs(spark, seed, before_s, after_s):
+    """More anchors than a list holds at one instant, both ends of the interval, rows without time, and lists cut by another column."""
+    from spotlift.operators.interval_join import ANCHORS_PER_LIST, interval_join
+
+    rng = random.Random(seed)
+    ends = [timedelta(seconds=s, microseconds=us) for s in (-after_s, 0, before_s) for us in (-1, 0, 1)]
+    points = [(i, BASE + timedelta(seconds=rng.randrange(2000))) for i in range(60)] + [(60, None)]
+    near = [points[0][1] + e for e in ends] * 2 + [points[1][1]] * (2 * ANCHORS_PER_LIST + 1)
+    drawn = [*near, *(BASE + timedelta(microseconds=rng.randrange(2_000_000_000)) for _ in range(200)), None]
+    anchors = [(i, at, i % 3) for i, at in enumerate(drawn)]
+    left = spark.createDataFrame(points, "p long, ts timestamp_ntz").repartition(3)
+    right = spark.createDataFrame(anchors, "a long, at timestamp_ntz, kind long").repartition(3)
+    want = [
+        (p, a, p - kind) for p, ts in points for a, at, kind in anchors
+        if ts and at and at - timedelta(seconds=before_s) <= ts <= at + timedelta(seconds=after_s)
+    ]
+    pairs = interval_join(left, right, "ts", "at", before_s, after_s, together=["kind"], once=["p - kind AS d"])
+    assert pairs.columns == ["p", "ts", "d", "a", "at"]
+    assert sorted((r.p, r.a, r.d) for r in pairs.collect()) == sorted(want)
+    plain = interval_join(left, right, "ts", "at", before_s, after_s, rows_per_task=10, anchors_per_task=5)
+    assert plain.columns == ["p", "ts", "a", "at", "kind"]
+    assert sorted((r.p, r.a, r.p - r.kind) for r in plain.collect()) == sorted(want)
